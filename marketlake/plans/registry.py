@@ -135,6 +135,120 @@ register("stg_metadata", with_ctes("SELECT * FROM meta_stg", "meta_stg"))(
     lambda s, d: layers.metadata(s, d))
 
 
+# ------------------------------------------------------------------ loads and sinks
+
+from marketlake.operators import quality as dq  # noqa: E402
+from marketlake.plans import roundtrips as rt  # noqa: E402
+from marketlake.plans.sql import register_cte  # noqa: E402
+
+register_cte("raw_f", "SELECT * FROM raw WHERE ingested_at = TIMESTAMP '2001-12-01 00:00:00'",
+             ["raw"])
+register_cte("raw_o", "SELECT * FROM raw WHERE ingested_at = TIMESTAMP '2001-12-02 00:00:00'",
+             ["raw"])
+_RAW_COLS = "date, open, high, low, close, adj_close, volume, ticker, ingested_at"
+_NEW_O = ("SELECT o.* FROM raw_o o WHERE NOT EXISTS "
+          "(SELECT 1 FROM raw_f f WHERE f.date = o.date AND f.ticker = o.ticker)")
+
+register("load_csv_prices", with_ctes("SELECT * FROM raw", "raw"))(rt.load_csv_prices)
+_CSV_META = ("SELECT NULLIF(ticker, '') AS ticker, NULLIF(company_name, '') AS company_name, "
+             "NULLIF(description, '') AS description, NULLIF(exchange, '') AS exchange, "
+             "NULLIF(start_date, '') AS start_date, NULLIF(end_date, '') AS end_date, "
+             "fetched_at FROM {t}")
+register("load_csv_metadata", with_ctes(_CSV_META.format(t="meta_raw"), "meta_raw"))(
+    rt.load_csv_metadata)
+register("csv_export_roundtrip", with_ctes(_CSV_META.format(t="meta_norm"), "meta_norm"))(
+    rt.csv_export_roundtrip)
+register("sink_append_roundtrip", with_ctes("SELECT * FROM raw", "raw"))(
+    rt.sink_append_roundtrip)
+register("sink_overwrite_roundtrip", with_ctes("SELECT * FROM meta_norm", "meta_norm"))(
+    rt.sink_overwrite_roundtrip)
+register("incremental_insert_new", with_ctes(
+    f"SELECT {_RAW_COLS} FROM raw_f UNION ALL {_NEW_O}", "raw_f", "raw_o"))(
+    rt.incremental_insert_new)
+register("landing_json_roundtrip", with_ctes("SELECT * FROM raw", "raw"))(
+    rt.landing_json_roundtrip)
+register("read_landing_json", with_ctes("SELECT * FROM raw", "raw"))(
+    rt.landing_json_roundtrip)
+register("retention_filter", with_ctes(
+    "SELECT * FROM raw WHERE CAST(ingested_at AS DATE) >= DATE '2002-12-02' - INTERVAL 365 DAY",
+    "raw"))(rt.retention_filter)
+register("load_row_count", with_ctes("SELECT COUNT(*) AS row_count FROM raw", "raw"))(
+    rt.load_row_count)
+register("normalize_prices", with_ctes("SELECT * FROM raw", "raw"))(rt.normalize_prices)
+register("union_feeds", with_ctes(
+    "SELECT date, open, high, low, close, CAST(NULL AS DOUBLE) AS adj_close, volume, ticker, "
+    "ingested_at FROM raw_f UNION ALL SELECT * FROM raw_o", "raw_f", "raw_o"))(rt.union_feeds)
+register("filter_ticker_universe", with_ctes(
+    "SELECT DISTINCT date, ticker FROM raw_f WHERE ticker IN (SELECT DISTINCT ticker FROM raw_o)",
+    "raw_f", "raw_o"))(rt.filter_ticker_universe)
+register("distinct_keys", with_ctes("SELECT DISTINCT date, ticker FROM raw", "raw"))(
+    lambda s, d: panel.raw_prices(s, d).select("date", "ticker").distinct())
+register("end_to_end_marts", with_ctes("SELECT * FROM quarterly", "quarterly"))(
+    rt.end_to_end_marts)
+
+# ------------------------------------------------------------------ quality and reports
+
+register("dq_duplicate_keys", with_ctes(
+    "SELECT date, ticker, COUNT(*) AS versions FROM raw GROUP BY date, ticker "
+    "HAVING COUNT(*) > 1", "raw"))(lambda s, d: dq.duplicate_keys(panel.raw_prices(s, d)))
+
+register("dq_validity_counts", with_ctes(
+    "SELECT ticker, COUNT(*) AS staged_rows, "
+    "CAST(SUM(CASE WHEN is_valid THEN 1 ELSE 0 END) AS BIGINT) AS valid_rows, "
+    "CAST(SUM(CASE WHEN NOT is_valid THEN 1 ELSE 0 END) AS BIGINT) AS invalid_rows, "
+    "CAST(SUM(CASE WHEN high < low THEN 1 ELSE 0 END) AS BIGINT) AS high_below_low, "
+    "CAST(SUM(CASE WHEN high < close THEN 1 ELSE 0 END) AS BIGINT) AS high_below_close, "
+    "CAST(SUM(CASE WHEN low > close THEN 1 ELSE 0 END) AS BIGINT) AS low_above_close "
+    "FROM stg GROUP BY ticker", "stg"))(
+    lambda s, d: dq.validity_counts(layers.staged(s, d)))
+
+register("dq_rejections", with_ctes(
+    "SELECT reason, COUNT(*) AS rejected_rows FROM (SELECT CASE "
+    "WHEN date IS NULL THEN 'date_null' WHEN ticker IS NULL THEN 'ticker_null' "
+    "WHEN close IS NULL THEN 'close_null' WHEN close <= 0 THEN 'close_not_positive' "
+    "WHEN open IS NULL THEN 'open_null' WHEN open <= 0 THEN 'open_not_positive' "
+    "WHEN volume IS NULL THEN 'volume_null' WHEN volume < 0 THEN 'volume_negative' "
+    "END AS reason FROM raw) WHERE reason IS NOT NULL GROUP BY reason", "raw"))(
+    lambda s, d: dq.rejections(panel.raw_prices(s, d)))
+
+register("dq_null_counts", with_ctes(
+    "SELECT COUNT(*) AS rows, "
+    + ", ".join(f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_{c}"
+                for c in ["date", "open", "high", "low", "close", "adj_close", "volume",
+                          "ticker", "ingested_at"])
+    + " FROM raw", "raw"))(lambda s, d: dq.null_counts(panel.raw_prices(s, d)))
+
+register("dq_dedup_report", with_ctes(
+    "SELECT COUNT(*) AS before, "
+    "CAST(SUM(CASE WHEN seen IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS after, "
+    "CAST(SUM(CASE WHEN seen THEN 1 ELSE 0 END) AS BIGINT) AS removed "
+    "FROM raw_o o LEFT JOIN (SELECT DISTINCT date, ticker, TRUE AS seen FROM raw_f) f "
+    "USING (date, ticker)", "raw_o", "raw_f"))(rt.dedup_report)
+
+register("load_report", with_ctes(
+    "SELECT COUNT(*) AS rows, COUNT(DISTINCT ticker) AS tickers, MIN(date) AS first_date, "
+    "MAX(date) AS last_date FROM raw", "raw"))(
+    lambda s, d: dq.load_report(panel.raw_prices(s, d)))
+
+register("rows_per_ticker", with_ctes(
+    "SELECT ticker, COUNT(*) AS rows FROM raw GROUP BY ticker", "raw"))(
+    lambda s, d: dq.rows_per_ticker(panel.raw_prices(s, d)))
+
+register("last_price_global_date", with_ctes(
+    "SELECT ticker, adj_close AS last_close, date AS last_date FROM daily "
+    "WHERE date = (SELECT MAX(date) FROM daily)", "daily"))(
+    lambda s, d: dq.last_price_at_global_date(layers.daily(s, d)))
+
+register("tail_sample", with_ctes(
+    "SELECT * FROM daily QUALIFY ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY date DESC) <= 5",
+    "daily"))(lambda s, d: dq.tail_per_ticker(layers.daily(s, d), 5))
+
+register("scalar_cleaning", with_ctes(
+    "SELECT ticker, listing_start_date, listing_end_date, is_active FROM meta_stg", "meta_stg"))(
+    lambda s, d: layers.metadata(s, d).select("ticker", "listing_start_date",
+                                              "listing_end_date", "is_active"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

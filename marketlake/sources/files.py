@@ -15,8 +15,11 @@ from marketlake.sources.schemas import (API_PRICE_RECORD_SCHEMA, METADATA_COLUMN
                                         PRICE_COLUMNS, RAW_METADATA_SCHEMA, RAW_PRICE_SCHEMA)
 
 # CSV dialect of the fixtures: header row, RFC 4180 doubled quotes, quoted
-# newlines allowed, microsecond timestamps without zone.
+# newlines allowed, microsecond timestamps without zone, whitespace kept.
+# CSV cannot tell an empty string from a missing value: both load as NULL.
 CSV_OPTIONS = {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
     "header": "true",
     "multiLine": "true",
     "quote": '"',
