@@ -62,26 +62,52 @@ def block_of(idx: Column, block_rows: int) -> Column:
 
 
 def block_windows(indexed: DataFrame, key: str, lookback: int,
-                  build, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Apply window columns built by ``build(w)`` per (key, block) with halo.
-
-    ``build`` receives ``Window.partitionBy(key, _blk).orderBy(_idx)`` and
-    returns a list of aliased columns. Frames/lags must look back at most
-    ``lookback`` rows and never forward.
+                  build, block_rows: int = DEFAULT_BLOCK_ROWS,
+                  lookahead: int = 0, frame: bool = False) -> DataFrame:
+    """Apply window columns per (key, block) with halo rows on both sides.
+
+    ``build(w)`` receives ``Window.partitionBy(key, _blk).orderBy(_idx)`` and
+    returns a list of aliased columns (``frame=False``) or, with
+    ``frame=True``, ``build(df, w)`` returns a new DataFrame (chained windows
+    on the same partitioning, no further shuffle). Whatever is computed may
+    depend on at most ``lookback`` rows before and ``lookahead`` rows after a
+    row; for chained windows the halo sizes must cover the whole chain.
     """
-    if block_rows <= lookback:
-        raise ValueError("block_rows must exceed the lookback")
+    if block_rows <= max(lookback, lookahead):
+        raise ValueError("block_rows must exceed the halo")
     idx = F.col(IDX)
     own = block_of(idx, block_rows)
     last_blk = block_of(F.col(LEN) - 1, block_rows)
-    halo = ((idx % block_rows) >= (block_rows - lookback)) & (own < last_blk) \
-        if lookback > 0 else F.lit(False)
-    spread = (indexed
-              .withColumn(BLK, F.explode(F.when(halo, F.array(own, own + 1))
-                                         .otherwise(F.array(own))))
+    pos = idx % block_rows
+    to_next = (pos >= (block_rows - lookback)) & (own < last_blk) if lookback > 0 \
+        else F.lit(False)
+    to_prev = (pos < lookahead) & (own > 0) if lookahead > 0 else F.lit(False)
+    targets = F.filter(F.array(own, F.when(to_next, own + 1), F.when(to_prev, own - 1)),
+                       lambda b: b.isNotNull())
+    spread = (indexed.withColumn(BLK, F.explode(targets))
               .withColumn(OWN, F.col(BLK) == own))
     w = Window.partitionBy(key, BLK).orderBy(IDX)
-    return spread.select("*", *build(w)).filter(F.col(OWN)).drop(OWN)
+    out = build(spread, w) if frame else spread.select("*", *build(w))
+    return out.filter(F.col(OWN)).drop(OWN)
+
+
+def block_running_sum(blocked: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """Running sum of ``value`` over the whole series (rows ordered by _idx).
+
+    Within a block: a window over (key, _blk) — the partitioning the input
+    already has. Across blocks: per-block totals (one row per block) with a
+    prefix sum over the blocks of a key, joined back on (key, _blk).
+    """
+    totals = blocked.groupBy(key, BLK).agg(F.sum(value).alias("_bt"))
+    carry = totals.select(
+        key, BLK,
+        F.coalesce(F.sum("_bt").over(Window.partitionBy(key).orderBy(BLK)
+                                     .rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0.0)).alias("_carry"))
+    w = Window.partitionBy(key, BLK).orderBy(IDX).rowsBetween(Window.unboundedPreceding,
+                                                              Window.currentRow)
+    return (blocked.join(carry, [key, BLK], "left")
+            .withColumn(out, F.col("_carry") + F.sum(value).over(w)).drop("_carry"))
 
 
 def block_anchors(indexed: DataFrame, key: str, value: str,

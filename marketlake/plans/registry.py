@@ -249,6 +249,43 @@ register("scalar_cleaning", with_ctes(
                                               "listing_end_date", "is_active"))
 
 
+# ------------------------------------------------------------------ forecasting
+
+from marketlake.plans import forecasting as fcp  # noqa: E402
+from marketlake.streaming import ingest as stream_ingest  # noqa: E402
+
+register("forecast_training_set", with_ctes(
+    "SELECT ticker, date, adj_close AS y FROM daily WHERE adj_close IS NOT NULL", "daily"))(
+    fcp.training_set)
+register("forecast_regularize")(fcp.regularized)
+register("forecast_spike_clean")(fcp.spike_clean)
+register("forecast_step_adjust")(fcp.step_adjust)
+register("forecast_decompose")(fcp.decomposition)
+register("forecast_holiday_effect")(fcp.holiday_effect)
+register("forecast_holiday_calendar")(fcp.holiday_calendar)
+register("forecast_fit")(fcp.fit_candidates)
+register("forecast_model_select")(fcp.model_select)
+register("forecast_evaluate")(fcp.evaluate)
+register("forecast_fit_status")(fcp.fit_status)
+register("forecast_predictions")(fcp.predictions)
+register("forecast_predictions_sorted")(fcp.predictions_sorted)
+register("forecast_business_calendar")(fcp.business_calendar_predictions)
+register("forecast_summary")(fcp.summary)
+register("replace_run_date")(fcp.replace_run_date)
+register("truncate_predictions")(fcp.truncate_predictions)
+register("history_and_forecast")(fcp.history_and_forecast)
+register("mart_with_metadata", with_ctes(
+    "SELECT d.*, m.company_name, m.exchange, m.is_active FROM daily d "
+    "LEFT JOIN meta_stg m ON upper(trim(d.ticker)) = m.ticker", "daily", "meta_stg"))(
+    fcp.mart_with_metadata)
+
+# ------------------------------------------------------------------ streaming
+
+register("stream_incremental_ingest", with_ctes(
+    f"SELECT {_RAW_COLS} FROM raw_f UNION ALL {_NEW_O}", "raw_f", "raw_o"))(
+    stream_ingest.incremental_ingest_demo)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
