@@ -40,10 +40,18 @@ INTERNAL = [IDX, LEN, CHUNK, CSTART, CLEN, BLK, OWN]
 
 
 def index_series(df: DataFrame, key: str = "ticker", order: str = "date",
-                 chunk: Column | None = None) -> DataFrame:
-    """Add _idx, _len, _chunk, _cstart, _clen to each row."""
+                 chunk: Column | None = None, materialize: bool = True) -> DataFrame:
+    """Add _idx, _len, _chunk, _cstart, _clen to each row.
+
+    The input is read twice (chunk counts, then rows); with ``materialize``
+    it is checkpointed first (reliable, shared checkpoint folder), so the
+    upstream plan runs once and the lineage — which otherwise doubles with
+    every such step — is cut.
+    """
     chunk = F.year(order) if chunk is None else chunk
     c = df.withColumn(CHUNK, chunk)
+    if materialize:
+        c = c.checkpoint(eager=True)
     counts = c.groupBy(key, CHUNK).agg(F.count(F.lit(1)).alias(CLEN))
     by_key = Window.partitionBy(key).orderBy(CHUNK)
     offsets = counts.select(

@@ -24,6 +24,8 @@ SESSION_DEFAULTS = {
     # Runtime (measured) size bound for converting a shuffle join to broadcast.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # MIN/MAX/COUNT without filters answered from parquet footers
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
