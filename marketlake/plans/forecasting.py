@@ -68,12 +68,22 @@ def holiday_calendar(spark, sf_dir):
     return forecast_run(spark, sf_dir).holidays
 
 
+def fit_report(models: DataFrame) -> DataFrame:
+    """Candidate / model table at report precision (coefficients 6 decimals,
+    log-likelihood and AIC 4, variance 2); the forecast uses full precision."""
+    r = F.round
+    return models.select(
+        "ticker", "d", "p", "q", *[r(c, 6).alias(c) for c in ["c", "ar1", "ar2", "ma1", "ma2"]],
+        r("sigma2", 2).alias("sigma2"), "n_fit", r("log_likelihood", 4).alias("log_likelihood"),
+        r("aic", 4).alias("aic"), "admissible", r("kpss", 6).alias("kpss"))
+
+
 def fit_candidates(spark, sf_dir):
-    return forecast_run(spark, sf_dir).candidates
+    return fit_report(forecast_run(spark, sf_dir).candidates)
 
 
 def model_select(spark, sf_dir):
-    return forecast_run(spark, sf_dir).models
+    return fit_report(forecast_run(spark, sf_dir).models)
 
 
 def evaluate(spark, sf_dir):

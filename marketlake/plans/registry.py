@@ -279,6 +279,43 @@ register("mart_with_metadata", with_ctes(
     "LEFT JOIN meta_stg m ON upper(trim(d.ticker)) = m.ticker", "daily", "meta_stg"))(
     fcp.mart_with_metadata)
 
+# oracle SQL of the forecast chain
+from marketlake.plans import sql_forecast as sqf  # noqa: E402
+
+ORACLE.update(sqf.ORACLE)
+ORACLE["forecast_predictions"] = sqf.prediction_sql(fcp.MODEL_RUN_DATE)
+ORACLE["forecast_predictions_sorted"] = sqf.prediction_sql(
+    fcp.MODEL_RUN_DATE, "ORDER BY ticker, forecast_date")
+ORACLE["truncate_predictions"] = sqf.prediction_sql(fcp.MODEL_RUN_DATE)
+ORACLE["replace_run_date"] = sqf._recursive(with_ctes(
+    f"SELECT {sqf.PRED_COLS.format(run=fcp.EARLIER_RUN_DATE)} FROM fc_pred UNION ALL "
+    f"SELECT {sqf.PRED_COLS.format(run=fcp.MODEL_RUN_DATE)} FROM fc_pred", "fc_pred"))
+ORACLE["forecast_fit_status"] = with_ctes(
+    "SELECT r.ticker, r.rows, CASE WHEN r.rows < 30 THEN 'too_few_rows' "
+    "WHEN c.any_ok IS NULL OR c.max_var <= 0 THEN 'zero_variance' "
+    "WHEN c.any_ok = 0 THEN 'no_admissible_model' ELSE 'ok' END AS status "
+    "FROM (SELECT ticker, COUNT(*) AS rows FROM fc_rows GROUP BY ticker) r "
+    "LEFT JOIN (SELECT ticker, MAX(CAST(admissible AS INTEGER)) AS any_ok, "
+    "MAX(sigma2) AS max_var FROM fc_cand GROUP BY ticker) c USING (ticker)",
+    "fc_rows", "fc_cand")
+_PRED_CTE = f"SELECT {sqf.PRED_COLS.format(run=fcp.MODEL_RUN_DATE)} FROM fc_pred"
+ORACLE["history_and_forecast"] = sqf._recursive(with_ctes(
+    "SELECT ticker, date, adj_close AS value, CAST(NULL AS DOUBLE) AS lower, "
+    "CAST(NULL AS DOUBLE) AS upper, 'history' AS kind FROM daily UNION ALL "
+    "SELECT ticker, forecast_date AS date, predicted_close AS value, "
+    "prediction_interval_lower_value AS lower, prediction_interval_upper_value AS upper, "
+    f"'forecast' AS kind FROM ({_PRED_CTE})", "fc_pred", "daily"))
+ORACLE["forecast_summary"] = sqf._recursive(with_ctes(
+    "SELECT f.ticker, lp.last_close, f.forecast_date, f.predicted_close AS forecast_close, "
+    "f.prediction_interval_lower_value AS lower, f.prediction_interval_upper_value AS upper, "
+    "ROUND((f.predicted_close - lp.last_close) / NULLIF(lp.last_close, 0) * 100, 2) "
+    "AS change_pct "
+    f"FROM ({_PRED_CTE}) f "
+    "LEFT JOIN (SELECT ticker, adj_close AS last_close FROM daily "
+    "WHERE date = (SELECT MAX(date) FROM daily)) lp USING (ticker) "
+    "WHERE f.forecast_date = (SELECT MAX(forecast_date) FROM fc_pred p "
+    "WHERE p.ticker = f.ticker)", "fc_pred", "daily"))
+
 # ------------------------------------------------------------------ streaming
 
 register("stream_incremental_ingest", with_ctes(
