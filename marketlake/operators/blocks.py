@@ -46,7 +46,8 @@ def index_series(df: DataFrame, key: str = "ticker", order: str = "date",
     The input is read twice (chunk counts, then rows); with ``materialize``
     it is checkpointed first (reliable, shared checkpoint folder), so the
     upstream plan runs once and the lineage — which otherwise doubles with
-    every such step — is cut.
+    every such step — is cut. The result exposes ``.base`` (checkpointed
+    input), ``.offsets`` (one row per key and chunk) and ``.order``.
     """
     chunk = F.year(order) if chunk is None else chunk
     c = df.withColumn(CHUNK, chunk)
@@ -61,8 +62,10 @@ def index_series(df: DataFrame, key: str = "ticker", order: str = "date",
         F.sum(CLEN).over(Window.partitionBy(key)).alias(LEN),
     )
     within = Window.partitionBy(key, CHUNK).orderBy(order)
-    return (c.join(offsets, [key, CHUNK])
-            .withColumn(IDX, F.col(CSTART) + F.row_number().over(within) - 1))
+    out = (c.join(offsets, [key, CHUNK])
+           .withColumn(IDX, F.col(CSTART) + F.row_number().over(within) - 1))
+    out.base, out.offsets, out.order = c, offsets, order
+    return out
 
 
 def block_of(idx: Column, block_rows: int) -> Column:
@@ -124,21 +127,25 @@ def block_anchors(indexed: DataFrame, key: str, value: str,
     """First ``value`` of each series (or of each chunk) for every block.
 
     Returns (key, _blk, anchor) or, with ``by_chunk``, (key, _blk, anchors)
-    where ``anchors`` maps chunk -> first value. Input rows read: only the
-    first row of each series / chunk, so the result is tiny.
+    where ``anchors`` maps chunk -> first value. The first values are a
+    partial ``min_by`` aggregate over the checkpointed input (NULL kept when
+    the first row's value is NULL); the block range of each series / chunk
+    comes from the small offsets table, so the indexing is not run again.
     """
+    base, offsets, order = indexed.base, indexed.offsets, indexed.order
     if not by_chunk:
-        firsts = indexed.filter(F.col(IDX) == 0).select(
-            key, F.col(value).alias("anchor"),
-            F.sequence(F.lit(0).cast("bigint"),
-                       block_of(F.col(LEN) - 1, block_rows)).alias("_blks"))
-        return firsts.select(key, F.explode("_blks").alias(BLK), "anchor")
-    firsts = indexed.filter(F.col(IDX) == F.col(CSTART)).select(
-        key, CHUNK, F.col(value).alias("anchor"),
-        F.sequence(block_of(F.col(CSTART), block_rows),
-                   block_of(F.col(CSTART) + F.col(CLEN) - 1, block_rows)).alias("_blks"))
-    return (firsts.select(key, CHUNK, "anchor", F.explode("_blks").alias(BLK))
-            .groupBy(key, BLK)
+        firsts = base.groupBy(key).agg(F.min_by(value, order).alias("anchor"))
+        lens = offsets.groupBy(key).agg(F.max(LEN).alias(LEN))
+        return (firsts.join(lens, key)
+                .select(key, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                  block_of(F.col(LEN) - 1, block_rows)))
+                        .alias(BLK), "anchor"))
+    firsts = base.groupBy(key, CHUNK).agg(F.min_by(value, order).alias("anchor"))
+    spans = firsts.join(offsets, [key, CHUNK]).select(
+        key, CHUNK, "anchor",
+        F.explode(F.sequence(block_of(F.col(CSTART), block_rows),
+                             block_of(F.col(CSTART) + F.col(CLEN) - 1, block_rows))).alias(BLK))
+    return (spans.groupBy(key, BLK)
             .agg(F.map_from_entries(F.collect_list(F.struct(CHUNK, "anchor")))
                  .alias("anchors")))
 
