@@ -39,11 +39,25 @@ DEFAULT_BLOCK_ROWS = 2048
 INTERNAL = [IDX, LEN, CHUNK, CSTART, CLEN, BLK, OWN]
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that computes its input once.
+
+    Writing a reliable checkpoint re-runs the plan unless the rows are
+    persisted, so they are persisted for the duration of the write and
+    released afterwards; later reads come from the checkpoint files in the
+    shared folder (survive executor loss, cut the lineage)."""
+    from pyspark import StorageLevel
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
+
+
 def index_series(df: DataFrame, key: str = "ticker", order: str = "date",
-                 chunk: Column | None = None, materialize: bool = True) -> DataFrame:
+                 chunk: Column | None = None, cut_input: bool = True) -> DataFrame:
     """Add _idx, _len, _chunk, _cstart, _clen to each row.
 
-    The input is read twice (chunk counts, then rows); with ``materialize``
+    The input is read twice (chunk counts, then rows); with ``cut_input``
     it is checkpointed first (reliable, shared checkpoint folder), so the
     upstream plan runs once and the lineage — which otherwise doubles with
     every such step — is cut. The result exposes ``.base`` (checkpointed
@@ -51,8 +65,8 @@ def index_series(df: DataFrame, key: str = "ticker", order: str = "date",
     """
     chunk = F.year(order) if chunk is None else chunk
     c = df.withColumn(CHUNK, chunk)
-    if materialize:
-        c = c.checkpoint(eager=True)
+    if cut_input:
+        c = materialize(c)
     counts = c.groupBy(key, CHUNK).agg(F.count(F.lit(1)).alias(CLEN))
     by_key = Window.partitionBy(key).orderBy(CHUNK)
     offsets = counts.select(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.blocks import (BLK, DEFAULT_BLOCK_ROWS, IDX, block_running_sum,
-                                         block_windows, index_series)
+                                         block_windows, index_series, materialize)
 
 
 @dataclass(frozen=True)
@@ -184,7 +184,7 @@ def cut(df: DataFrame) -> DataFrame:
     The forecast chain joins per-series aggregates back to their rows many
     times; without a cut every join repeats the whole upstream plan (and its
     scan). A reliable checkpoint survives executor loss."""
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def decompose(adj: DataFrame, cfg: ForecastConfig = DEFAULT):
