@@ -164,5 +164,24 @@ def block_anchors(indexed: DataFrame, key: str, value: str,
                  .alias("anchors")))
 
 
+def series_blocks(blocked: DataFrame, key: str,
+                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """(key, _blk) for every block of every series — one row per block,
+    read from the first row of each series only."""
+    return blocked.filter(F.col(IDX) == 0).select(
+        key, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                  block_of(F.col(LEN) - 1, block_rows))).alias(BLK))
+
+
+def join_per_key(blocked: DataFrame, consts: DataFrame, key: str, blocks: DataFrame,
+                 on: tuple = (), how: str = "left") -> DataFrame:
+    """Join per-key constants (optionally per key + ``on`` columns) to the
+    blocked rows through (key, _blk): the constants are copied to each block
+    of their series, so the large side is never keyed by ``key`` alone — a
+    hot series stays split over its blocks whatever the join strategy."""
+    spread = consts.join(blocks, key)
+    return blocked.join(spread, [key, BLK, *on], how)
+
+
 def drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in INTERNAL if c in df.columns])

@@ -21,7 +21,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.blocks import (IDX, LEN, block_running_sum, block_windows)
+from marketlake.operators.blocks import (IDX, LEN, block_running_sum, block_windows,
+                                         join_per_key, series_blocks)
 from marketlake.operators.forecast.prep import DEFAULT, ForecastConfig, cut
 
 LOG_2PI = math.log(2 * math.pi)
@@ -46,10 +47,11 @@ def _lags(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return block_running_sum(out, "ticker", "s", "s_cum")
 
 
-def kpss(lagged: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+def kpss(lagged: DataFrame, cfg: ForecastConfig = DEFAULT, blocks=None) -> DataFrame:
     """Per ticker: n, mean, KPSS statistic and the chosen d."""
+    blocks = series_blocks(lagged, "ticker", cfg.block_rows) if blocks is None else blocks
     stats = lagged.groupBy("ticker").agg(F.count("s").alias("n"), F.avg("s").alias("mean_s"))
-    j = lagged.join(stats, "ticker")
+    j = join_per_key(lagged, stats, "ticker", blocks, how="inner")
     e = F.col("s") - F.col("mean_s")
     e1 = F.col("s1") - F.col("mean_s")
     part = F.col("s_cum") - (F.col(IDX) + 1) * F.col("mean_s")
@@ -86,8 +88,9 @@ def design(rows: DataFrame, cfg: ForecastConfig = DEFAULT):
     """Rows with x (differenced per chosen d), its lags and long-AR(2)
     residual lags; returns (design rows, kpss table)."""
     lagged = cut(_lags(rows, cfg))
-    k = cut(kpss(lagged, cfg))
-    j = lagged.join(k.select("ticker", "d"), "ticker")
+    blocks = cut(series_blocks(lagged, "ticker", cfg.block_rows))
+    k = cut(kpss(lagged, cfg, blocks))
+    j = join_per_key(lagged, k.select("ticker", "d"), "ticker", blocks, how="inner")
     d1 = F.col("d") == 1
     j = j.select("*",
                  F.when(d1, F.col("s") - F.col("s1")).otherwise(F.col("s")).alias("x"),
@@ -105,7 +108,7 @@ def design(rows: DataFrame, cfg: ForecastConfig = DEFAULT):
     b, const, _ = _two_reg(m, "xl1", "xl2")
     ar = cut(ar.select("ticker", const.alias("ar_c"), b["xl1"].alias("ar_1"),
                        b["xl2"].alias("ar_2")))
-    j = j.join(ar, "ticker", "left").withColumn(
+    j = join_per_key(j, ar, "ticker", blocks).withColumn(
         "e", F.col("x") - F.col("ar_c") - F.col("ar_1") * F.col("xl1")
         - F.col("ar_2") * F.col("xl2"))
     j = block_windows(j, "ticker", 2, lambda w: [

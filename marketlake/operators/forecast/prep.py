@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators.blocks import (BLK, DEFAULT_BLOCK_ROWS, IDX, block_running_sum,
-                                         block_windows, index_series, materialize)
+                                         block_windows, index_series, join_per_key,
+                                         materialize, series_blocks)
 
 
 @dataclass(frozen=True)
@@ -137,7 +138,8 @@ def clean_and_adjust(reg: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame
     blocked = cut(blocked.withColumn("_step0", F.coalesce("step_size", F.lit(0.0))))
     cum = block_running_sum(blocked, "ticker", "_step0", "_steps_to_here")
     total = blocked.groupBy("ticker").agg(F.sum("_step0").alias("_steps_total"))
-    return (cum.join(total, "ticker")
+    blocks = series_blocks(blocked, "ticker", cfg.block_rows)
+    return (join_per_key(cum, total, "ticker", blocks, how="inner")
             .withColumn("y_adj", F.col("y_clean") + (F.col("_steps_total")
                                                      - F.col("_steps_to_here")))
             .drop("_step0", "_steps_to_here", "_steps_total"))
@@ -207,9 +209,10 @@ def decompose(adj: DataFrame, cfg: ForecastConfig = DEFAULT):
           .agg(F.avg("_r").alias("_raw")))
     wd_eff = cut(wd.select("ticker", "dow", (F.col("_raw") - F.avg("_raw").over(
         Window.partitionBy("ticker"))).alias("weekday_effect")))
-    out = (base.join(wd_eff, ["ticker", "dow"], "left")
-           .join(hol_eff.select("ticker", "holiday", "holiday_effect"),
-                 ["ticker", "holiday"], "left"))
+    blocks = series_blocks(base, "ticker", cfg.block_rows)
+    out = join_per_key(base, wd_eff, "ticker", blocks, on=("dow",))
+    out = join_per_key(out, hol_eff.select("ticker", "holiday", "holiday_effect"), "ticker",
+                       blocks, on=("holiday",))
     seasonal = F.coalesce("weekday_effect", F.lit(0.0)) + F.coalesce("holiday_effect",
                                                                        F.lit(0.0))
     out = (out.withColumn("seasonal", seasonal)
