@@ -290,6 +290,7 @@ ORACLE["truncate_predictions"] = sqf.prediction_sql(fcp.MODEL_RUN_DATE)
 ORACLE["replace_run_date"] = sqf._recursive(with_ctes(
     f"SELECT {sqf.PRED_COLS.format(run=fcp.EARLIER_RUN_DATE)} FROM fc_pred UNION ALL "
     f"SELECT {sqf.PRED_COLS.format(run=fcp.MODEL_RUN_DATE)} FROM fc_pred", "fc_pred"))
+ORACLE["forecast_business_calendar"] = sqf.business_prediction_sql(fcp.MODEL_RUN_DATE)
 ORACLE["forecast_fit_status"] = with_ctes(
     "SELECT r.ticker, r.rows, CASE WHEN r.rows < 30 THEN 'too_few_rows' "
     "WHEN c.any_ok IS NULL OR c.max_var <= 0 THEN 'zero_variance' "

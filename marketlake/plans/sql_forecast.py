@@ -298,3 +298,20 @@ ORACLE = {
 def prediction_sql(run_date: str, extra: str = "") -> str:
     return _recursive(with_ctes(
         f"SELECT {PRED_COLS.format(run=run_date)} FROM fc_pred {extra}", "fc_pred"))
+
+
+# --- business calendar variant: no calendar fill, forecast dates skip weekends
+
+
+def business_prediction_sql(run_date: str) -> str:
+    from marketlake.plans.sql import CTES
+    daily_sql = prediction_sql(run_date)
+    reg_body = CTES["fc_reg"]
+    sql = daily_sql.replace(reg_body, "\nSELECT ticker, date, y, TRUE AS observed FROM fc_train")
+    step = "m.last_date + CAST(r.h AS INTEGER)"
+    wd = "(isodow(m.last_date) - 1)"
+    base = f"least({wd}, 4)"
+    bday = (f"(m.last_date - CAST({wd} AS INTEGER) + CAST(floor(({base} + r.h) / 5) * 7 "
+            f"+ ({base} + r.h) % 5 AS INTEGER))")
+    assert step in sql
+    return sql.replace(step, bday)
