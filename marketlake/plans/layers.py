@@ -1,10 +1,16 @@
-"""The layer graph raw -> staging -> marts as composed DataFrame plans."""
+"""The layer graph raw -> staging -> marts as composed DataFrame plans.
+
+Like the warehouse layers they replace (create+replace tables read by the
+next layer), ``raw``, ``staged``, ``daily`` and ``metadata`` are materialised
+once per session and data folder (reliable checkpoint in the shared folder);
+every query reading a layer reads that table instead of re-deriving it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.operators.blocks import DEFAULT_BLOCK_ROWS
+from marketlake.operators.blocks import DEFAULT_BLOCK_ROWS, materialize
 from marketlake.operators.daily import mart_daily_ohlcv
 from marketlake.operators.quarterly import mart_quarterly_summary
 from marketlake.operators.returns import mart_stock_returns
@@ -13,12 +19,28 @@ from marketlake.sources.files import normalize_metadata
 from marketlake.sources.panel import raw_metadata, raw_prices
 
 
+_TABLES: dict = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = materialize(build())
+    return _TABLES[key]
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "raw", lambda: raw_prices(spark, sf_dir))
+
+
 def staged(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    return stage_prices(raw_prices(spark, sf_dir), block_rows)
+    return _table(spark, sf_dir, f"stg/{block_rows}",
+                  lambda: stage_prices(raw(spark, sf_dir), block_rows))
 
 
 def daily(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    return mart_daily_ohlcv(staged(spark, sf_dir, block_rows), block_rows)
+    return _table(spark, sf_dir, f"daily/{block_rows}",
+                  lambda: mart_daily_ohlcv(staged(spark, sf_dir, block_rows), block_rows))
 
 
 def returns(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS,
@@ -31,4 +53,5 @@ def quarterly(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFr
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_metadata(normalize_metadata(raw_metadata(spark, sf_dir)))
+    return _table(spark, sf_dir, "metadata",
+                  lambda: stage_metadata(normalize_metadata(raw_metadata(spark, sf_dir))))

@@ -46,12 +46,12 @@ register("raw_prices", with_ctes("SELECT * FROM raw", "raw"))(
 register("stg_row_filter", with_ctes(
     "SELECT * FROM raw WHERE date IS NOT NULL AND ticker IS NOT NULL AND close IS NOT NULL "
     "AND close > 0 AND open > 0 AND volume >= 0", "raw"))(
-    lambda s, d: stg_ops.admit_rows(panel.raw_prices(s, d)))
+    lambda s, d: stg_ops.admit_rows(layers.raw(s, d)))
 
 register("stg_dedup_latest", with_ctes(
     "SELECT date, ticker, open, high, low, close, adj_close, volume, ingested_at "
     "FROM stg_source WHERE row_num = 1", "stg_source"))(
-    lambda s, d: stg_ops.dedup_latest(stg_ops.admit_rows(panel.raw_prices(s, d))))
+    lambda s, d: stg_ops.dedup_latest(stg_ops.admit_rows(layers.raw(s, d))))
 
 register("stg_stock_prices", with_ctes("SELECT * FROM stg", "stg"))(
     lambda s, d: layers.staged(s, d))
@@ -182,7 +182,7 @@ register("filter_ticker_universe", with_ctes(
     "SELECT DISTINCT date, ticker FROM raw_f WHERE ticker IN (SELECT DISTINCT ticker FROM raw_o)",
     "raw_f", "raw_o"))(rt.filter_ticker_universe)
 register("distinct_keys", with_ctes("SELECT DISTINCT date, ticker FROM raw", "raw"))(
-    lambda s, d: panel.raw_prices(s, d).select("date", "ticker").distinct())
+    lambda s, d: layers.raw(s, d).select("date", "ticker").distinct())
 register("end_to_end_marts", with_ctes("SELECT * FROM quarterly", "quarterly"))(
     rt.end_to_end_marts)
 
@@ -190,7 +190,7 @@ register("end_to_end_marts", with_ctes("SELECT * FROM quarterly", "quarterly"))(
 
 register("dq_duplicate_keys", with_ctes(
     "SELECT date, ticker, COUNT(*) AS versions FROM raw GROUP BY date, ticker "
-    "HAVING COUNT(*) > 1", "raw"))(lambda s, d: dq.duplicate_keys(panel.raw_prices(s, d)))
+    "HAVING COUNT(*) > 1", "raw"))(lambda s, d: dq.duplicate_keys(layers.raw(s, d)))
 
 register("dq_validity_counts", with_ctes(
     "SELECT ticker, COUNT(*) AS staged_rows, "
@@ -209,14 +209,14 @@ register("dq_rejections", with_ctes(
     "WHEN open IS NULL THEN 'open_null' WHEN open <= 0 THEN 'open_not_positive' "
     "WHEN volume IS NULL THEN 'volume_null' WHEN volume < 0 THEN 'volume_negative' "
     "END AS reason FROM raw) WHERE reason IS NOT NULL GROUP BY reason", "raw"))(
-    lambda s, d: dq.rejections(panel.raw_prices(s, d)))
+    lambda s, d: dq.rejections(layers.raw(s, d)))
 
 register("dq_null_counts", with_ctes(
     "SELECT COUNT(*) AS rows, "
     + ", ".join(f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_{c}"
                 for c in ["date", "open", "high", "low", "close", "adj_close", "volume",
                           "ticker", "ingested_at"])
-    + " FROM raw", "raw"))(lambda s, d: dq.null_counts(panel.raw_prices(s, d)))
+    + " FROM raw", "raw"))(lambda s, d: dq.null_counts(layers.raw(s, d)))
 
 register("dq_dedup_report", with_ctes(
     "SELECT COUNT(*) AS before, "
@@ -228,11 +228,11 @@ register("dq_dedup_report", with_ctes(
 register("load_report", with_ctes(
     "SELECT COUNT(*) AS rows, COUNT(DISTINCT ticker) AS tickers, MIN(date) AS first_date, "
     "MAX(date) AS last_date FROM raw", "raw"))(
-    lambda s, d: dq.load_report(panel.raw_prices(s, d)))
+    lambda s, d: dq.load_report(layers.raw(s, d)))
 
 register("rows_per_ticker", with_ctes(
     "SELECT ticker, COUNT(*) AS rows FROM raw GROUP BY ticker", "raw"))(
-    lambda s, d: dq.rows_per_ticker(panel.raw_prices(s, d)))
+    lambda s, d: dq.rows_per_ticker(layers.raw(s, d)))
 
 register("last_price_global_date", with_ctes(
     "SELECT ticker, adj_close AS last_close, date AS last_date FROM daily "
