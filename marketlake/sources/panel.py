@@ -66,24 +66,31 @@ def line_position(spark: SparkSession, sf_dir: str) -> F.Column:
 
 
 def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean bars (before defects): one per (date, ticker, status)."""
+    """Clean bars (before defects): one per (date, ticker, status).
+
+    Per-line values (date, line position, price, adjusted price) are computed
+    before the join, so a shuffle of lineitem — when ``part`` is too large to
+    broadcast — carries seven narrow columns instead of ten."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
                     "l_tax", "l_linestatus", "l_shipdate")
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
-    joined = li.join(part, li.l_partkey == part.p_partkey)
-    pos = line_position(spark, sf_dir)
     px = F.col("l_extendedprice")
-    apx = px * (1 - F.col("l_discount")) / (1 + F.col("l_tax"))
+    lines = li.select(
+        F.to_date("l_shipdate").alias("date"), "l_partkey",
+        F.col("l_linestatus").alias("status"),
+        line_position(spark, sf_dir).alias("pos"),
+        px.alias("px"),
+        (px * (1 - F.col("l_discount")) / (1 + F.col("l_tax"))).alias("apx"),
+        "l_quantity")
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
+    joined = lines.join(part, lines.l_partkey == part.p_partkey)
     return (
-        joined.groupBy(F.to_date("l_shipdate").alias("date"),
-                       F.col("p_brand").alias("ticker"),
-                       F.col("l_linestatus").alias("status"))
-        .agg(F.min_by(px, pos).alias("open"),
-             F.max(px).alias("high"),
-             F.min(px).alias("low"),
-             F.max_by(px, pos).alias("close"),
-             F.max_by(apx, pos).alias("adj_close"),
+        joined.groupBy("date", F.col("p_brand").alias("ticker"), "status")
+        .agg(F.min_by("px", "pos").alias("open"),
+             F.max("px").alias("high"),
+             F.min("px").alias("low"),
+             F.max_by("px", "pos").alias("close"),
+             F.max_by("apx", "pos").alias("adj_close"),
              F.sum("l_quantity").cast("bigint").alias("volume"))
     )
 
