@@ -27,7 +27,7 @@ _RUNS: dict = {}
 def forecast_run(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = DEFAULT):
     key = (spark.sparkContext.applicationId, sf_dir, cfg)
     if key not in _RUNS:
-        _RUNS[key] = fc.run(fc.prep.cut(layers.daily(spark, sf_dir, cfg.block_rows)), cfg)
+        _RUNS[key] = fc.run(layers.daily(spark, sf_dir, cfg.block_rows), cfg)
     return _RUNS[key]
 
 
