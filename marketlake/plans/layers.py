@@ -33,6 +33,16 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "raw", lambda: raw_prices(spark, sf_dir))
 
 
+def raw_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The two ingest batches (first and second run) read from the raw layer."""
+    from pyspark.sql import functions as F
+
+    from marketlake.sources.panel import BATCH_TIMES
+    r = raw(spark, sf_dir)
+    return {s: r.filter(F.col("ingested_at") == F.lit(t).cast("timestamp"))
+            for s, t in BATCH_TIMES.items()}
+
+
 def staged(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     return _table(spark, sf_dir, f"stg/{block_rows}",
                   lambda: stage_prices(raw(spark, sf_dir), block_rows))

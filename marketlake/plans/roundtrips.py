@@ -39,7 +39,7 @@ def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.scratch(spark, "raw-append")
-    for batch in panel.raw_price_batches(spark, sf_dir).values():
+    for batch in layers.raw_batches(spark, sf_dir).values():
         sinks.write_prices(batch, path, "append")
     return sinks.read_prices(spark, path)
 
@@ -54,13 +54,13 @@ def sink_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.scratch(spark, "raw-insert-new")
-    for batch in panel.raw_price_batches(spark, sf_dir).values():
+    for batch in layers.raw_batches(spark, sf_dir).values():
         sinks.insert_new(spark, batch, path)
     return sinks.read_prices(spark, path)
 
 
 def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = panel.raw_price_batches(spark, sf_dir)
+    b = layers.raw_batches(spark, sf_dir)
     return quality.dedup_report(b["O"], b["F"])
 
 
@@ -93,7 +93,7 @@ def normalize_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-batch frames concatenated by name; a feed without ``adj_close``
     gets NULLs there."""
-    b = panel.raw_price_batches(spark, sf_dir)
+    b = layers.raw_batches(spark, sf_dir)
     return (b["F"].drop("adj_close").unionByName(b["O"], allowMissingColumns=True)
             .select(*PRICE_COLUMNS))
 
@@ -101,7 +101,7 @@ def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filter_ticker_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing keys restricted to the tickers of the incoming batch
     (the IN-list of the dedup query, as a semi-join)."""
-    b = panel.raw_price_batches(spark, sf_dir)
+    b = layers.raw_batches(spark, sf_dir)
     incoming = b["O"].select("ticker").distinct()
     return b["F"].join(incoming, "ticker", "left_semi").select("date", "ticker").distinct()
 

@@ -76,7 +76,8 @@ def insert_new(spark: SparkSession, batch: DataFrame, target_path: str) -> dict:
     left. Returns before/after/removed counts (one pass over the batch)."""
     fresh = new_rows(spark, batch, target_path)
     before = batch.count()
-    fresh = fresh.checkpoint()  # fixed set: the count and the write agree
+    from marketlake.operators.blocks import materialize
+    fresh = materialize(fresh)  # fixed set: the count and the write agree
     after = fresh.count()
     if after:
         write_prices(fresh, target_path, "append")

@@ -65,11 +65,11 @@ def run_once(spark: SparkSession, landing_path: str, target_path: str,
 def incremental_ingest_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two scheduled runs: the first run date's landing files, then the
     second's; the stream checkpoint skips files already taken."""
-    from marketlake.sources import panel
+    from marketlake.plans import layers
     landing = sinks.scratch(spark, "stream-landing")
     target = sinks.scratch(spark, "stream-raw")
     ckpt = sinks.scratch(spark, "stream-ckpt")
-    for batch in panel.raw_price_batches(spark, sf_dir).values():
+    for batch in layers.raw_batches(spark, sf_dir).values():
         sinks.write_landing(batch, landing)
         run_once(spark, landing, target, ckpt)
     return sinks.read_prices(spark, target)
