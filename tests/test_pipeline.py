@@ -18,7 +18,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_oracle_key_is_a_query():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) == set(entry.queries())
     for name in entry.queries():
         assert "pipeline" not in name and not name.startswith("op")
 

@@ -34,3 +34,30 @@ def test_block_size_must_exceed_lookback(spark):
     stg = stage_prices(raw_prices(spark, SMOKE))
     with pytest.raises(ValueError):
         mart_daily_ohlcv(stg, block_rows=100)
+
+
+def _ticker_only_windows(df):
+    """Window operators whose partition spec is the ticker alone
+    (physical line: ``Window [exprs], [partition keys], [order]``)."""
+    import re
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    out = []
+    for line in plan.split("\n"):
+        if "Window [" not in line:
+            continue
+        m = re.search(r"\], \[([^\]]*)\], \[[^\]]*\]\s*$", line)
+        if m is None:
+            continue
+        keys = [k.strip() for k in m.group(1).split(",") if k.strip()]
+        if keys and all(k.startswith("ticker#") for k in keys):
+            out.append(line.strip())
+    return out
+
+
+def test_no_large_window_keyed_by_ticker_alone(spark):
+    """Only the tiny per-(ticker, year) count table may be windowed by ticker;
+    every window over rows runs per (ticker, block) or (ticker, year)."""
+    stg = stage_prices(raw_prices(spark, SMOKE))
+    for df in (mart_daily_ohlcv(stg), mart_stock_returns(mart_daily_ohlcv(stg))):
+        for line in _ticker_only_windows(df):
+            assert "_clen" in line or "_bt" in line, line
