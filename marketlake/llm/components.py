@@ -9,6 +9,7 @@ so a hub is never gathered in one task; each round ends in a written table.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     return current.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
         current.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+
+
+def spanning(link: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Pairs (i, j) that connect what ``link`` (rows a, columns b, nodes
+    0..n-1) connects: each node with the smallest it reaches."""
+    label = np.arange(n)
+    while link.size:
+        low = label.copy()
+        near = np.where(link, label[b][None], n).min(1)
+        low[a] = np.minimum(low[a], near)
+        near = np.where(link, low[a][:, None], n).min(0)
+        low[b] = np.minimum(low[b], near)
+        if (low == label).all():
+            break
+        label = low
+    moved = np.flatnonzero(label != np.arange(n))
+    return np.stack([moved, label[moved]], 1)

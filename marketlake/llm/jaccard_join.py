@@ -12,9 +12,11 @@ a suffix filter that bounds the overlap by counts over hash ranges.
 
 Classes rather than all pairs: equal sets are one node. A first round verifies
 each prefix list's members against one of them; then lists whose members are
-all connected already are done, and a second round joins only members of
-different components. So a group of thousands of copies costs one
-verification per copy, and no link between different texts is lost.
+all connected already are done, and a second round compares only members of
+different components: pairs of short lists are rows, the members of long lists
+are compared block by block as matrix products. So a group of thousands of
+copies costs one verification per copy, and no link between different texts
+is lost.
 
 Defined cases: NULL or empty texts and texts without words have no set and
 link with nothing; fewer than five words are one shingle; repeated rows are
@@ -31,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import map_batches, sized, staged, texts_of
-from marketlake.llm.components import components
+from marketlake.llm.components import components, spanning
 from marketlake.llm.shingles import WORDS, Shingler, mix
 
 SKETCH_BITS = 20          # counters of the count sketch: 4 MB, whatever the corpus
 CHUNK = 1 << 14           # counters in a row while partial sketches are added
+SHORT = 64                # members of a list whose pairs are listed as rows
+BLOCK = 256               # sets on a side of a verified group
 RANGES = np.arange(1, 32, dtype=np.uint64) << np.uint64(59)   # of the suffix filter
 
 
@@ -136,13 +140,19 @@ def star_pairs(post: DataFrame, percent: int) -> DataFrame:
                     F.greatest("set_id", "c.set_id").alias("b")).distinct())
 
 
-def other_pairs(post: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of list members in different components: same band or the next."""
+def mixed_lists(post: DataFrame, found: DataFrame) -> DataFrame:
+    """Postings of lists whose members are in different components, with the
+    component ``c`` and the list length ``len``."""
     known = (post.join(found, post.set_id == found.node, "left")
              .withColumn("c", F.coalesce("component", "set_id")).drop("node", "component"))
-    mixed = known.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")
-                                         ).filter("lo != hi").select("shingle")
-    known = known.join(mixed, "shingle")
+    mixed = known.groupBy("shingle").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("len")
+        ).filter("lo != hi").select("shingle", "len")
+    return known.join(mixed, "shingle")
+
+
+def short_list_pairs(known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of list members in different components: same band or the next."""
     left = known.select("shingle", "band", *[F.col(k).alias(f"{k}1")
                                              for k in ("set_id", "n", "pos", "c")])
     right = known.select(F.col("shingle").alias("shingle2"), F.col("band").alias("band2"),
@@ -157,13 +167,97 @@ def other_pairs(post: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         F.greatest("set_id1", "set_id2").alias("b")).distinct()
 
 
+def long_list_groups(known: DataFrame) -> DataFrame:
+    """(g, side, set_id): block pairs that cover the members of long lists.
+    Lists that share members mostly share a label; the members of a label are
+    cut into blocks, a large component into blocks of its own, and two blocks
+    of one component are not compared."""
+    least = known.groupBy("set_id").agg(F.min("shingle").alias("m"))
+    label = (known.join(least, "set_id").groupBy("shingle").agg(F.min("m").alias("label")))
+    members = known.join(label, "shingle").select("label", "set_id", "c").distinct()
+    sizes = members.groupBy("label", "c").agg(F.count(F.lit(1)).alias("k"))
+    small = sizes.filter(F.col("k") < BLOCK).groupBy("label").agg(F.sum("k").alias("rest"))
+    big = F.col("k") >= BLOCK
+    dealt = staged(members.join(sizes, ["label", "c"]).join(small, "label", "left").select(
+        "label", "set_id", F.when(big, F.col("c")).alias("own"),
+        F.when(big, F.xxhash64("c", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("k") / BLOCK))))
+        .otherwise(F.xxhash64(F.lit(0), F.pmod(F.xxhash64("c"), F.ceil(F.col("rest") / BLOCK))))
+        .alias("block")), "blocks")
+    blocks = dealt.select("label", "block", "own").distinct()
+    other = blocks.select(F.col("label").alias("label2"), F.col("block").alias("block2"),
+                          F.col("own").alias("own2"))
+    pairs = staged(blocks.join(other, (F.col("label") == F.col("label2"))
+                               & (F.col("block") <= F.col("block2"))
+                               & F.coalesce(F.col("own") != F.col("own2"), F.lit(True)))
+                   .select("label", "block", "block2",
+                           F.xxhash64("label", "block", "block2").alias("g")), "block-pairs")
+    sides = pairs.select("label", "block", "g", F.lit(0).alias("side")).union(
+        pairs.filter("block != block2").select("label", "block2", "g", F.lit(1)))
+    return sides.join(dealt.select("label", "block", "set_id"), ["label", "block"]).select(
+        "g", "side", "set_id")
+
+
+def pair_groups(pairs: DataFrame) -> DataFrame:
+    """(g, side, set_id): each first set with up to about BLOCK of its partners."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"))
+    dealt = pairs.join(many, "a").withColumn("g", F.xxhash64("a", F.pmod(F.xxhash64("b"), "k")))
+    return dealt.select("g", F.lit(0).alias("side"), F.col("a").alias("set_id")).distinct().union(
+        dealt.select("g", F.lit(1), "b"))
+
+
 # ------------------------------------------------------------- verification
 
-def whole_sets(docs: DataFrame, known: DataFrame, needed: DataFrame, words: int, id_col: str,
-               text_col: str) -> DataFrame:
-    """(set_id, items) of the needed sets, built from one text of each."""
-    one = sized(staged(known.join(needed, "set_id").select("text_key", "set_id"), "needed"))
-    texts = docs.select(text_col, F.xxhash64(text_col).alias("text_key")).join(one, "text_key")
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sorted sets ``a`` (rows) and ``b`` (columns) reach the
+    similarity: a suffix filter by counts over hash ranges, then the sizes of
+    all intersections as products of 0/1 matrices."""
+    n, m = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    both = n[:, None] + m[None]
+    need = -(-percent * both // (100 + percent))
+    count = lambda s: np.stack([np.diff(np.searchsorted(x, RANGES), prepend=0,
+                                        append=len(x)) for x in s])
+    ca, cb = count(a), count(b)
+    bound = sum(np.minimum(ca[:, r][:, None], cb[:, r][None]) for r in range(ca.shape[1]))
+    maybe = bound >= need
+    rows, cols = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
+    out = np.zeros(maybe.shape, bool)
+    if not len(rows):
+        return out
+    xa, xb = np.concatenate([a[i] for i in rows]), np.concatenate([b[i] for i in cols])
+    ra, rb = np.repeat(np.arange(len(rows)), n[rows]), np.repeat(np.arange(len(cols)), m[cols])
+    shared = np.intersect1d(xa, xb)
+    if not len(shared):
+        return out
+    inside = lambda x: np.minimum(np.searchsorted(shared, x), len(shared) - 1)
+    ka, kb = inside(xa), inside(xb)
+    ka, ra = ka[shared[ka] == xa], ra[shared[ka] == xa]
+    kb, rb = kb[shared[kb] == xb], rb[shared[kb] == xb]
+    oa, ob = np.argsort(ka, kind="stable"), np.argsort(kb, kind="stable")
+    ka, ra, kb, rb = ka[oa], ra[oa], kb[ob], rb[ob]
+    size = np.zeros((len(rows), len(cols)))
+    for at in range(0, len(shared), 4096):
+        grids = []
+        for k, r, height in ((ka, ra, len(rows)), (kb, rb, len(cols))):
+            lo, hi = np.searchsorted(k, [at, at + 4096])
+            grid = np.zeros((height, 4096), np.float32)
+            grid[r[lo:hi], k[lo:hi] - at] = 1
+            grids.append(grid)
+        size += grids[0] @ grids[1].T
+    some = 100 * size >= percent * (both[np.ix_(rows, cols)] - size)
+    out[np.ix_(rows, cols)] = some & maybe[np.ix_(rows, cols)]
+    return out
+
+
+def verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int, words: int,
+             id_col: str, text_col: str) -> DataFrame:
+    """(a, b): links between the two sides of each group (inside a group of
+    one side), as pairs that connect what is linked. One text of each needed
+    set is read again; sets are shuffled once, to their groups."""
+    groups = staged(groups, "groups")
+    one = sized(staged(nodes.join(groups.select("set_id").distinct(), "set_id").select(
+        "set_id", F.col("text_key").alias("_key"), F.col("first_id").alias("_id")), "needed"))
+    texts = docs.select(id_col, text_col, F.xxhash64(text_col).alias("text_key")).join(
+        one, (F.col("text_key") == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
 
     def make():
         shingler = Shingler(words)
@@ -175,40 +269,21 @@ def whole_sets(docs: DataFrame, known: DataFrame, needed: DataFrame, words: int,
                 names=["set_id", "items"])
         return run
 
-    built = map_batches(texts.select("set_id", text_col), make, "set_id bigint, items binary")
-    return staged(built.dropDuplicates(["set_id"]), "sets")
-
+    sets = staged(map_batches(texts.select("set_id", text_col), make,
+                              "set_id bigint, items binary"), "sets")
 
-def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets reach the similarity."""
-    n, m = len(a), len(b)
-    need = -(-percent * (n + m) // (100 + percent))
-    if min(n, m) < need:
-        return False
-    ca = np.diff(np.searchsorted(a, RANGES), prepend=0, append=n)
-    cb = np.diff(np.searchsorted(b, RANGES), prepend=0, append=m)
-    if np.minimum(ca, cb).sum() < need:        # suffix filter
-        return False
-    at = np.minimum(np.searchsorted(b, a), m - 1)
-    both = int((b[at] == a).sum())
-    return 100 * both >= percent * (n + m - both)
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity."""
-    left = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("items").alias("x")), "a")
-    both = left.join(sets.select(F.col("set_id").alias("b"), F.col("items").alias("y")), "b")
-
-    def make():
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            x, y = batch.column("x"), batch.column("y")
-            keep = [overlaps(np.frombuffer(x[i].as_buffer(), np.uint64),
-                             np.frombuffer(y[i].as_buffer(), np.uint64), percent)
-                    for i in range(batch.num_rows)]
-            return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-        return run
+    def compare(t: pa.Table) -> pa.Table:
+        side, ids = t["side"].to_numpy(), t["set_id"].to_numpy()
+        items = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["items"]]
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        b = b if len(b) else a
+        link = overlaps([items[i] for i in a], [items[i] for i in b], percent)
+        ends = spanning(link, a, b, len(ids))
+        return pa.table({"a": ids[ends[:, 0]], "b": ids[ends[:, 1]]})
 
-    return map_batches(both.select("a", "b", "x", "y"), make, "a bigint, b bigint")
+    return staged(sets.join(groups, "set_id").select("g", "side", "set_id", "items")
+                  .groupBy("g").applyInArrow(compare, "a bigint, b bigint")
+                  .filter("a != b"), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS,
@@ -219,21 +294,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS,
                    .withColumn("row", F.monotonically_increasing_id()), "heads")
     rows = known.filter(F.col("set_id").isNotNull())
     nodes = staged(rows.groupBy("set_id").agg(
-        F.min("doc_id").alias("least"), F.min(F.struct("row", "text_key")).alias("first"))
+        F.min("doc_id").alias("least"),
+        F.min(F.struct("row", "text_key", F.col("doc_id").alias("first_id"))).alias("first"))
         .select("set_id", "least", "first.*"), "nodes")
     firsts = rows.join(nodes.select("row"), "row")
     post = staged(postings(firsts, percent), "postings")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs, "pairs")
-        needed = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-        sets = whole_sets(docs, nodes, needed, words, id_col, text_col)
-        return staged(verified(pairs, sets, percent), "links")
+    def links(groups: DataFrame) -> DataFrame:
+        return verified(docs, nodes, groups, percent, words, id_col, text_col)
 
     tried = staged(star_pairs(post, percent), "stars")
-    first = links(tried)
-    rest = other_pairs(post, components(first), percent)
-    second = links(rest.join(tried, ["a", "b"], "left_anti"))
+    first = links(pair_groups(tried))
+    mixed = staged(mixed_lists(post, components(first)), "mixed-lists")
+    rest = staged(short_list_pairs(mixed.filter(F.col("len") <= SHORT), percent)
+                  .join(tried, ["a", "b"], "left_anti"), "pairs")
+    second = links(pair_groups(rest).union(long_list_groups(mixed.filter(F.col("len") > SHORT))))
     found = components(first.union(second))
     ends = nodes.join(found, nodes.set_id == found.node, "left").select(
         "set_id", "least", F.coalesce("component", "set_id").alias("component"))
