@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from marketlake.llm.byte_ranks import Ranks, doubled, occurrences, window_minima
 from marketlake.llm.common import map_batches, sized, staged, texts_of
 
-INTERVAL_ROWS = 1_000_000   # documents with run lists that may be broadcast
+LISTED_RUNS = 2_000_000   # runs in lists (some 16 bytes each) that may be broadcast
 
 
 def _long(x) -> pa.Array:
@@ -128,8 +128,10 @@ def pair_ranks(docs: DataFrame, listed: DataFrame, length: int, id_col: str,
 
 def with_lists(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str,
                how: str = "inner") -> DataFrame:
-    lists = sized(staged(lists.select(F.col("doc_id").alias("_id"), F.col("text_key").alias(
-        "_key"), "runs"), "run-lists"), INTERVAL_ROWS)
+    lists = staged(lists.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
+                                "runs"), "run-lists")
+    if (lists.agg(F.sum(F.size("runs"))).first()[0] or 0) <= LISTED_RUNS:
+        lists = F.broadcast(lists)
     same: Column = F.col(id_col).eqNullSafe(F.col("_id")) \
         & F.col("text_key").eqNullSafe(F.col("_key"))
     return keyed(docs, id_col, text_col).join(lists, same, how).drop("_id", "_key")
@@ -161,6 +163,33 @@ def covered(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFra
     return settled.select("doc_id", "text_key", "lo", "hi").unionByName(ones)
 
 
+def joined_runs(lists: DataFrame) -> DataFrame:
+    """The lists with overlapping and adjacent runs joined."""
+    def make():
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sizes, los, his = [], [], []
+            for found in batch.column("runs"):
+                lo, hi = (x.to_numpy() for x in found.values.flatten())
+                order = np.argsort(lo, kind="stable")
+                lo, reach = lo[order], np.maximum.accumulate(hi[order])
+                first = np.concatenate([[True], lo[1:] > reach[:-1] + 1])
+                last = np.concatenate([first[1:], [True]])
+                los.append(lo[first])
+                his.append(reach[last])
+                sizes.append(int(first.sum()))
+            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(los), pa.int32()),
+                                                pa.array(np.concatenate(his), pa.int32())],
+                                               names=["lo", "hi"])
+            runs = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pairs)
+            return pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), runs],
+                names=["doc_id", "text_key", "runs"])
+        return run
+
+    return map_batches(lists.select("doc_id", "text_key", "runs"), make,
+                       lists.select("doc_id", "text_key", "runs").schema)
+
+
 def kept_parts(data: bytes, lo: np.ndarray, hi: np.ndarray, length: int
                ) -> tuple[list[bytes], int, int]:
     """What is left of ``data``, bytes removed, maximal removed runs."""
@@ -181,8 +210,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
     if length % 2:
         raise ValueError("length must be even")
     id_type = docs.schema[id_col].dataType.simpleString()
-    lists = covered(docs, length, id_col, text_col).groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
+    lists = joined_runs(covered(docs, length, id_col, text_col).groupBy(
+        "doc_id", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
 
     def make():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
