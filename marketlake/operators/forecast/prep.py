@@ -160,10 +160,13 @@ def _holiday_date(year: Column, month: int, rule: str, arg) -> Column:
 
 def holiday_windows(series: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
     """(date, holiday) for every day within ``holiday_half_width`` of a US
-    holiday, for the years the data spans plus the next (forecast) year.
+    holiday, for the years from the first date to the end of the horizon.
     Size bound: 11 holidays x (2w+1) days x years spanned."""
-    years = series.agg(F.min(F.year("date")).alias("y0"), F.max(F.year("date")).alias("y1"))
-    years = years.select(F.explode(F.sequence("y0", F.col("y1") + 1)).alias("year"))
+    # a business-day horizon takes up to 7 calendar days for 5 steps
+    reach = F.date_add(F.max("date"), F.lit(cfg.horizon * 7 // 5 + 7))
+    years = series.agg(F.min(F.year("date")).alias("y0"),
+                       F.greatest(F.year(reach), F.max(F.year("date")) + 1).alias("y1"))
+    years = years.select(F.explode(F.sequence("y0", "y1")).alias("year"))
     rows = []
     for name, month, rule, arg in US_HOLIDAYS:
         d = _holiday_date(F.col("year"), month, rule, arg)

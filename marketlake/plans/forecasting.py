@@ -114,7 +114,8 @@ def replace_run_date(spark, sf_dir):
     path = sinks.scratch(spark, "predictions")
     sinks.replace_partition(_predictions(spark, sf_dir, EARLIER_RUN_DATE), path,
                             "model_run_date")
-    sinks.replace_partition(_predictions(spark, sf_dir).limit(10), path, "model_run_date")
+    stale = _predictions(spark, sf_dir).withColumn("predicted_close", F.lit(0.0))
+    sinks.replace_partition(stale, path, "model_run_date")
     sinks.replace_partition(_predictions(spark, sf_dir), path, "model_run_date")
     out = spark.read.parquet(path)
     return out.select("ticker", "forecast_date", "predicted_close",

@@ -150,14 +150,24 @@ _NEW_O = ("SELECT o.* FROM raw_o o WHERE NOT EXISTS "
           "(SELECT 1 FROM raw_f f WHERE f.date = o.date AND f.ticker = o.ticker)")
 
 register("load_csv_prices", with_ctes("SELECT * FROM raw", "raw"))(rt.load_csv_prices)
-_CSV_META = ("SELECT NULLIF(ticker, '') AS ticker, NULLIF(company_name, '') AS company_name, "
-             "NULLIF(description, '') AS description, NULLIF(exchange, '') AS exchange, "
-             "NULLIF(start_date, '') AS start_date, NULLIF(end_date, '') AS end_date, "
-             "fetched_at FROM {t}")
-register("load_csv_metadata", with_ctes(_CSV_META.format(t="meta_raw"), "meta_raw"))(
+register("load_csv_metadata", with_ctes("SELECT * FROM meta_raw", "meta_raw"))(
     rt.load_csv_metadata)
-register("csv_export_roundtrip", with_ctes(_CSV_META.format(t="meta_norm"), "meta_norm"))(
+register("csv_export_roundtrip", with_ctes("SELECT * FROM meta_norm", "meta_norm"))(
     rt.csv_export_roundtrip)
+_JUNK = "ticker = 'Brand#11' AND day(date) = 1"
+register("load_rejects", with_ctes(
+    "SELECT CAST(NULL AS DATE) AS date, open, high, low, close, adj_close, volume, ticker, "
+    f"ingested_at FROM raw WHERE {_JUNK}", "raw"))(rt.load_rejects)
+register("insert_new_with_bad_dates", with_ctes(
+    f"SELECT {_RAW_COLS} FROM (SELECT {_RAW_COLS} FROM raw_f UNION ALL {_NEW_O}) "
+    f"WHERE NOT ({_JUNK})", "raw_f", "raw_o"))(rt.insert_new_with_bad_dates)
+register("normalize_api_metadata", with_ctes(
+    "SELECT CASE WHEN lost THEN ticker ELSE upper(ticker) END AS ticker, "
+    + ", ".join(f"CASE WHEN NOT lost THEN coalesce({c}, '') END AS {c}"
+                for c in ("company_name", "exchange", "start_date", "end_date"))
+    + ", CASE WHEN NOT lost THEN substring(coalesce(description, ''), 1, 300) END AS description, "
+    "fetched_at FROM (SELECT *, regexp_extract(ticker, '[0-9]+') = '11' AS lost FROM meta_raw)",
+    "meta_raw"))(rt.normalize_api_metadata)
 register("sink_append_roundtrip", with_ctes("SELECT * FROM raw", "raw"))(
     rt.sink_append_roundtrip)
 register("sink_overwrite_roundtrip", with_ctes("SELECT * FROM meta_norm", "meta_norm"))(

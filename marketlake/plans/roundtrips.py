@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from marketlake.operators import quality
 from marketlake.plans import layers
 from marketlake.sources import files, panel, sinks
-from marketlake.sources.schemas import PRICE_COLUMNS
+from marketlake.sources.schemas import PRICE_COLUMNS, RAW_PRICE_SCHEMA
 
 RETENTION_AS_OF = "2002-12-02"  # 365 days after the first landing run date + 1
 
@@ -31,7 +31,7 @@ def load_csv_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prices and metadata exported to CSV, reloaded, staged metadata."""
+    """Normalised metadata exported to CSV and loaded again."""
     path = sinks.scratch(spark, "csv-export")
     files.write_csv(files.normalize_metadata(panel.raw_metadata(spark, sf_dir)), path)
     return files.load_csv_metadata(spark, path)
@@ -47,8 +47,9 @@ def sink_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.scratch(spark, "meta-truncate")
     meta = files.normalize_metadata(panel.raw_metadata(spark, sf_dir))
-    sinks.overwrite_table(meta.limit(1), path)   # an older load ...
-    sinks.overwrite_table(meta, path)            # ... fully replaced
+    stale = meta.withColumn("end_date", F.lit(""))
+    sinks.overwrite_table(stale, path)   # an older load ...
+    sinks.overwrite_table(meta, path)    # ... fully replaced
     return spark.read.parquet(path)
 
 
@@ -59,6 +60,48 @@ def incremental_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_prices(spark, path)
 
 
+def with_bad_dates(batch: DataFrame) -> DataFrame:
+    """The batch as API records in which one ticker's first days of a month
+    have an unreadable date, normalised again."""
+    junk = (F.col("ticker") == "Brand#11") & F.col("date").substr(9, 2).eqNullSafe("01")
+    records = sinks.to_api_records(batch)
+    return files.normalize_prices(
+        records.withColumn("date", F.when(junk, F.lit("junk")).otherwise(F.col("date"))),
+        ticker="ticker", ingested_at=F.col("run_date").cast("timestamp"))
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a load sets aside because the date is unreadable."""
+    target, bad = sinks.scratch(spark, "raw-strict"), sinks.scratch(spark, "raw-rejects")
+    for batch in layers.raw_batches(spark, sf_dir).values():
+        sinks.insert_new(spark, with_bad_dates(batch), target, bad)
+    return spark.read.schema(RAW_PRICE_SCHEMA).parquet(bad)
+
+
+def insert_new_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches, each loaded three times: replays add nothing."""
+    path = sinks.scratch(spark, "raw-replayed")
+    for batch in layers.raw_batches(spark, sf_dir).values():
+        rows = with_bad_dates(batch)
+        for _ in range(3):
+            sinks.insert_new(spark, rows, path)
+    return sinks.read_prices(spark, path)
+
+
+def normalize_api_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The company feed under the API's names: every third record lacks its
+    ticker, one fetch failed."""
+    meta = panel.raw_metadata(spark, sf_dir)
+    number = F.regexp_extract("ticker", r"(\d+)", 1).cast("int")
+    records = meta.select(
+        F.col("ticker").alias("requested"), (number == 11).alias("failed"),
+        F.when(number % 3 != 0, F.col("ticker")).alias("ticker"),
+        F.col("company_name").alias("name"), "description",
+        F.col("exchange").alias("exchangeCode"), F.col("start_date").alias("startDate"),
+        F.col("end_date").alias("endDate"), "fetched_at")
+    return files.normalize_api_metadata(records)
+
+
 def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = layers.raw_batches(spark, sf_dir)
     return quality.dedup_report(b["O"], b["F"])

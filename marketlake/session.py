@@ -24,17 +24,13 @@ SESSION_DEFAULTS = {
     # Runtime (measured) size bound for converting a shuffle join to broadcast.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # MIN/MAX/COUNT without filters answered from parquet footers
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in SESSION_DEFAULTS.items():
-        try:
+        if spark.conf.isModifiable(k):   # static settings belong to the cluster
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session; keep going
-            pass
     return spark
 
 
@@ -60,8 +56,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a fresh temporary folder taken and registered.
+    ``spark.checkpoint.dir`` is read from the session; only where it is unset
+    in local mode (tests) is a fresh temporary folder taken and registered.
+    On a cluster a missing setting is an error: a folder of one machine would
+    not be seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -70,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="marketlake-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

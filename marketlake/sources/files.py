@@ -15,25 +15,31 @@ from marketlake.sources.schemas import (API_PRICE_RECORD_SCHEMA, METADATA_COLUMN
                                         PRICE_COLUMNS, RAW_METADATA_SCHEMA, RAW_PRICE_SCHEMA)
 
 # CSV dialect of the fixtures: header row, RFC 4180 doubled quotes, quoted
-# newlines allowed, microsecond timestamps without zone, whitespace kept.
-# CSV cannot tell an empty string from a missing value: both load as NULL.
+# newlines allowed where text is quoted (``TEXT_OPTIONS``), microsecond
+# timestamps without zone, whitespace kept. A marker stands for a missing value,
+# so empty text stays empty text; a malformed line fails the load.
 CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "header": "true",
-    "multiLine": "true",
     "quote": '"',
     "escape": '"',
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "dateFormat": "yyyy-MM-dd",
-    "mode": "PERMISSIVE",
+    "nullValue": "\\N",
+    "mode": "FAILFAST",
 }
+TEXT_OPTIONS = {"multiLine": "true"}   # one task per file: company text, never prices
+METADATA_API_NAMES = {"name": "company_name", "exchangeCode": "exchange",
+                      "startDate": "start_date", "endDate": "end_date"}
 PRICE_API_RENAMES = {"adjClose": "adj_close"}
 PRICE_KEEP = ["date", "open", "high", "low", "close", "adj_close", "volume"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             quoted_lines: bool = False) -> DataFrame:
+    options = {**CSV_OPTIONS, **(TEXT_OPTIONS if quoted_lines else {})}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def load_csv_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +47,7 @@ def load_csv_prices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_csv_metadata(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, RAW_METADATA_SCHEMA)
+    return read_csv(spark, path, RAW_METADATA_SCHEMA, quoted_lines=True)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -106,6 +112,27 @@ def normalize_metadata(records: DataFrame) -> DataFrame:
     ).select(*METADATA_COLUMNS)
 
 
+def normalize_api_metadata(records: DataFrame, requested: str = "requested",
+                           failed: str = "failed") -> DataFrame:
+    """Records under the API's names -> raw metadata rows. A record without a
+    ticker takes the requested one; a failed fetch leaves the requested ticker
+    as it was asked for and the fetch time, everything else NULL."""
+    present = {old: new for old, new in METADATA_API_NAMES.items() if old in records.columns}
+    named = records.withColumnsRenamed(present)
+    asked = F.col(requested).cast("string")
+    if "ticker" in named.columns:
+        named = named.withColumn("ticker", F.coalesce(F.col("ticker").cast("string"), asked))
+    else:
+        named = named.withColumn("ticker", asked)
+    miss = F.coalesce(F.col(failed), F.lit(False))
+    good = normalize_metadata(named.filter(~miss))
+    bad = named.filter(miss).select(
+        asked.alias("ticker"), *[F.lit(None).cast("string").alias(c)
+                                 for c in METADATA_COLUMNS if c not in ("ticker", "fetched_at")],
+        F.col("fetched_at").cast("timestamp").alias("fetched_at"))
+    return good.unionByName(bad).select(*METADATA_COLUMNS)
+
+
 def failed_metadata_row(spark: SparkSession, ticker: str, fetched_at: str) -> DataFrame:
     """Row kept for a ticker whose fetch failed: only ticker and time."""
     return spark.createDataFrame([(ticker, None, None, None, None, None, None)],

@@ -42,29 +42,10 @@ def brand_number(brand: F.Column) -> F.Column:
     return F.substring(brand, 7, 10).cast("int")
 
 
+# Order of the lines inside a bar: lexicographic, one key at every scale.
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def line_position(spark: SparkSession, sf_dir: str) -> F.Column:
-    """Position of a line inside its bar: lexicographic on LINE_ORDER.
-
-    When the maxima of the four keys (read from parquet footers, no data
-    scan) fit in 63 bits together, the key is packed into one bigint with
-    bit shifts — a fixed-width ordering lets the bar aggregate run as a hash
-    aggregate. Otherwise a struct keeps the same order at any scale (the
-    aggregate then sorts instead of hashing)."""
-    li = read_table(spark, sf_dir, "lineitem", *LINE_ORDER)
-    mx = li.agg(*[F.max(c).alias(c) for c in LINE_ORDER]).first()
-    if all(mx[c] is not None and mx[c] >= 0 for c in LINE_ORDER):
-        bits = [int(mx[c]).bit_length() for c in LINE_ORDER]
-        if sum(bits) <= 63:
-            key = F.lit(0).cast("bigint")
-            for c, b in zip(LINE_ORDER, bits):
-                key = key * F.lit(1 << b).cast("bigint") + F.col(c).cast("bigint")
-            return key
-    return F.struct(*LINE_ORDER)
-
-
 def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean bars (before defects): one per (date, ticker, status).
 
@@ -78,7 +59,7 @@ def price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = li.select(
         F.to_date("l_shipdate").alias("date"), "l_partkey",
         F.col("l_linestatus").alias("status"),
-        line_position(spark, sf_dir).alias("pos"),
+        F.struct(*LINE_ORDER).alias("pos"),
         px.alias("px"),
         (px * (1 - F.col("l_discount")) / (1 + F.col("l_tax"))).alias("apx"),
         "l_quantity")

@@ -7,8 +7,9 @@ Layout choices for scale:
   (year, ticker, date) before the write: range partitioning samples the key
   distribution, so a hot ticker is split over several files/tasks instead of
   landing in one, and parquet row-group min/max on ticker/date prune reads;
-* insert-only-new reads only the key columns of the target and anti-joins on
-  (date, ticker) — the shuffle key includes the date, so no ticker is a hot key;
+* insert-only-new reads only the key columns of the target, bounded by the
+  batch's years, dates and tickers, and anti-joins on (date, ticker) — the
+  shuffle key includes the date, so no ticker is a hot key;
 * replace-by-run-date uses dynamic partition overwrite: only the run's
   partition is rewritten, atomically per partition through the commit protocol.
 """
@@ -20,9 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.sources.files import API_PRICE_RECORD_SCHEMA, normalize_prices
-from marketlake.sources.schemas import PRICE_COLUMNS
+from marketlake.operators.blocks import materialize
+from marketlake.sources.schemas import PRICE_COLUMNS, RAW_PRICE_SCHEMA
 
 KEY = ["date", "ticker"]
+VALUE_COLUMNS = ["open", "high", "low", "close", "adj_close", "volume"]
+TARGET_SCHEMA = T.StructType([*RAW_PRICE_SCHEMA.fields,
+                              T.StructField("year", T.IntegerType(), True)])
 
 
 def _clustered(df: DataFrame) -> DataFrame:
@@ -60,28 +65,64 @@ def replace_partition(df: DataFrame, path: str, partition_col: str) -> None:
        .partitionBy(partition_col).parquet(path))
 
 
-def new_rows(spark: SparkSession, batch: DataFrame, target_path: str) -> DataFrame:
-    """Rows of ``batch`` whose (date, ticker) is not in the target yet.
-
-    A missing target means first load (checked explicitly; other read errors
-    surface instead of being taken as "first run")."""
-    if not _exists(spark, target_path):
-        return batch
-    existing = spark.read.parquet(target_path).select(*KEY)
-    return batch.join(existing, KEY, "left_anti")
-
-
-def insert_new(spark: SparkSession, batch: DataFrame, target_path: str) -> dict:
-    """Idempotent load: append only unseen keys; skip the write when none are
-    left. Returns before/after/removed counts (one pass over the batch)."""
-    fresh = new_rows(spark, batch, target_path)
-    before = batch.count()
-    from marketlake.operators.blocks import materialize
-    fresh = materialize(fresh)  # fixed set: the count and the write agree
-    after = fresh.count()
+def admissible(batch: DataFrame) -> DataFrame:
+    """Rows with both key columns; the others are rejects."""
+    return batch.filter(F.col("date").isNotNull() & F.col("ticker").isNotNull())
+
+
+def rejects(batch: DataFrame) -> DataFrame:
+    """Rows without a date or ticker: the raw table requires both, and a NULL
+    key would be added again by every replay."""
+    return batch.filter(F.col("date").isNull() | F.col("ticker").isNull())
+
+
+def latest_per_key(batch: DataFrame) -> DataFrame:
+    """One row per (date, ticker): the latest version in the batch."""
+    best = F.max(F.struct("ingested_at", *VALUE_COLUMNS)).alias("_b")
+    return batch.groupBy(*KEY).agg(best).select(
+        "date", *[F.col(f"_b.{c}").alias(c) for c in VALUE_COLUMNS], "ticker",
+        F.col("_b.ingested_at").alias("ingested_at")).select(*PRICE_COLUMNS)
+
+
+def existing_keys(batch: DataFrame, target_path: str) -> DataFrame:
+    """Keys of the target inside the batch's years, dates and tickers: the
+    years prune folders, the ranges reach the parquet scan."""
+    span = batch.agg(F.min("date").alias("d0"), F.max("date").alias("d1"),
+                     F.min("ticker").alias("t0"), F.max("ticker").alias("t1")).first()
+    keys = batch.sparkSession.read.schema(TARGET_SCHEMA).parquet(target_path)
+    if span.d0 is None:
+        return keys.select(*KEY).limit(0)
+    return keys.filter(F.col("year").between(span.d0.year, span.d1.year)
+                       & F.col("date").between(span.d0, span.d1)
+                       & F.col("ticker").between(span.t0, span.t1)).select(*KEY)
+
+
+def new_rows(batch: DataFrame, target_path: str) -> DataFrame:
+    """Admissible rows of ``batch``, one per key, whose (date, ticker) is not
+    in the target yet. A missing target means first load (checked explicitly;
+    other read errors surface instead of being taken as "first run")."""
+    rows = latest_per_key(admissible(batch))
+    if not _exists(batch.sparkSession, target_path):
+        return rows
+    return rows.join(existing_keys(rows, target_path), KEY, "left_anti")
+
+
+def insert_new(spark: SparkSession, batch: DataFrame, target_path: str,
+               rejects_path: str | None = None) -> dict:
+    """Idempotent load, for batches and micro-batches: append only unseen
+    keys, write nothing when none are left, append rejects to
+    ``rejects_path`` if given. The batch is stored once for all its uses.
+    Returns the counts before, after, rejected and removed."""
+    batch = materialize(batch.select(*PRICE_COLUMNS))
+    fresh = materialize(new_rows(batch, target_path))  # the count and the write agree
+    bad = rejects(batch)
+    before, after, rejected = batch.count(), fresh.count(), bad.count()
     if after:
         write_prices(fresh, target_path, "append")
-    return {"before": before, "after": after, "removed": before - after}
+    if rejected and rejects_path:
+        bad.write.mode("append").parquet(rejects_path)
+    return {"before": before, "after": after, "rejected": rejected,
+            "removed": before - rejected - after}
 
 
 # ------------------------------------------------------------------ landing files
@@ -100,8 +141,9 @@ def to_api_records(prices: DataFrame) -> DataFrame:
 
 
 def write_landing(prices: DataFrame, path: str) -> None:
-    """One folder per run date and ticker (JSON Lines inside)."""
-    to_api_records(prices).write.mode("append").partitionBy("run_date", "ticker").json(path)
+    """One folder per run date and ticker (JSON Lines inside). Rows are
+    range-partitioned by the two first, so a task writes few folders."""
+    to_api_records(prices).repartitionByRange("run_date", "ticker", "date").write.mode("append").partitionBy("run_date", "ticker").json(path)
 
 
 LANDING_SCHEMA = T.StructType(list(API_PRICE_RECORD_SCHEMA.fields) + [

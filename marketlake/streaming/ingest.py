@@ -1,15 +1,15 @@
 """Incremental landing ingest with Structured Streaming (T1).
 
 New landing files (JSON, ``run_date=/ticker=`` folders) are picked up by the
-file source; each micro-batch is normalised, reduced to the latest version of
-each (date, ticker) inside the batch, anti-joined against the keys already in
-the raw table and appended (year-partitioned, ticker-clustered).
+file source; each micro-batch is normalised and loaded like a batch (rejects
+split off, latest version per (date, ticker), anti-join against the keys already
+in the raw table, year-partitioned append).
 
 * File-level exactly-once comes from the stream checkpoint (shared folder).
 * Replays are harmless: the anti-join drops keys that already landed, so a
   batch re-run after a failure between write and commit adds nothing.
-* No watermark: the anti-join is against the full key set of the target, as
-  in the batch loader; state lives in the target table, not in the stream.
+* No watermark: the anti-join is against the target's keys, as in the batch
+  loader; state lives in the target table, not in the stream.
 """
 
 from __future__ import annotations
@@ -17,27 +17,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators.staging import VALUE_COLUMNS
 from marketlake.sources import sinks
 from marketlake.sources.files import normalize_prices
-from marketlake.sources.schemas import PRICE_COLUMNS
 
 
-def _latest_in_batch(df: DataFrame) -> DataFrame:
-    best = F.max(F.struct("ingested_at", *VALUE_COLUMNS)).alias("_b")
-    return (df.groupBy("date", "ticker").agg(best)
-            .select("date", "ticker", *[F.col(f"_b.{c}").alias(c) for c in VALUE_COLUMNS],
-                    F.col("_b.ingested_at").alias("ingested_at"))
-            .select(*PRICE_COLUMNS))
-
-
-def ingest_batch(target_path: str):
+def ingest_batch(target_path: str, rejects_path: str | None = None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
         rows = normalize_prices(batch, ticker="ticker",
-                                      ingested_at=F.col("run_date").cast("timestamp"))
-        fresh = sinks.new_rows(spark, _latest_in_batch(rows), target_path)
-        sinks.write_prices(fresh, target_path, "append")
+                                ingested_at=F.col("run_date").cast("timestamp"))
+        sinks.insert_new(batch.sparkSession, rows, target_path, rejects_path)
     return handle
 
 
