@@ -158,7 +158,8 @@ def covered(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFra
     twice = staged(single.groupBy("rank").agg(F.sum("weight").alias("w"),
                                               F.min("weight").alias("least"))
                    .filter("w > 1 AND least = 1").select("rank"), "repeated-ranks")
-    ones = single.filter("weight = 1").join(sized(twice), "rank").select(
+    # ranks grow with the positions: shuffled alike at every size
+    ones = single.filter("weight = 1").join(twice.hint("merge"), "rank").select(
         "doc_id", "text_key", F.col("pos").alias("lo"), F.col("pos").alias("hi"))
     return settled.select("doc_id", "text_key", "lo", "hi").unionByName(ones)
 
