@@ -129,11 +129,12 @@ def enough(n1, p1, n2, p2, percent: int):
 
 
 def star_pairs(post: DataFrame, percent: int) -> DataFrame:
-    """Each list member with its list's centre in the same band of sizes."""
+    """Each list member with its list's centre in the same band of sizes.
+    Lists grow with the corpus, so their joins shuffle alike at every size."""
     centre = post.groupBy("shingle", "band").agg(
         F.min(F.struct(F.xxhash64("set_id").alias("h"), "set_id", "n", "pos")).alias("c"),
         F.count(F.lit(1)).alias("k")).filter("k > 1")
-    return (post.join(centre, ["shingle", "band"])
+    return (post.join(centre.hint("merge"), ["shingle", "band"])
             .filter((F.col("set_id") != F.col("c.set_id"))
                     & enough(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), percent))
             .select(F.least("set_id", "c.set_id").alias("a"),
@@ -148,7 +149,7 @@ def mixed_lists(post: DataFrame, found: DataFrame) -> DataFrame:
     mixed = known.groupBy("shingle").agg(
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("len")
         ).filter("lo != hi").select("shingle", "len")
-    return known.join(mixed, "shingle")
+    return known.join(mixed.hint("merge"), "shingle")
 
 
 def short_list_pairs(known: DataFrame, percent: int) -> DataFrame:
@@ -162,7 +163,7 @@ def short_list_pairs(known: DataFrame, percent: int) -> DataFrame:
         & (F.col("c1") != F.col("c2")) \
         & ((F.col("band2") > F.col("band")) | (F.col("set_id1") < F.col("set_id2"))) \
         & enough(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent)
-    return left.join(right, pair).select(
+    return left.join(right.hint("merge"), pair).select(
         F.least("set_id1", "set_id2").alias("a"),
         F.greatest("set_id1", "set_id2").alias("b")).distinct()
 
@@ -281,7 +282,7 @@ def verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int,
         ends = spanning(link, a, b, len(ids))
         return pa.table({"a": ids[ends[:, 0]], "b": ids[ends[:, 1]]})
 
-    return staged(sets.join(groups, "set_id").select("g", "side", "set_id", "items")
+    return staged(sets.join(sized(groups), "set_id").select("g", "side", "set_id", "items")
                   .groupBy("g").applyInArrow(compare, "a bigint, b bigint")
                   .filter("a != b"), "links")
 
