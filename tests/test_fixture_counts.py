@@ -61,5 +61,5 @@ def test_empty_input_is_skipped(spark):
     from marketlake.sources.files import empty_prices
     path = sinks.scratch(spark, "test-empty")
     report = sinks.insert_new(spark, empty_prices(spark), path)
-    assert report == {"before": 0, "after": 0, "removed": 0}
+    assert report == {"before": 0, "after": 0, "rejected": 0, "removed": 0}
     assert not sinks._exists(spark, path)      # nothing written
