@@ -7,8 +7,11 @@ Two sets with Jaccard similarity >= t share a shingle among the first
 ``n - ceil(t n) + 1`` of either, so only these prefixes are joined. Candidates
 must pass the length filter (sizes within a factor t; bands of sizes are join
 keys) and the positional filter (what is left after the shared positions must
-suffice). Each remaining pair is verified once, against both whole sets, after
-a suffix filter that bounds the overlap by counts over hash ranges.
+suffice). A pair then compares parity maps: one bit per hash bucket, odd or
+even, so two maps differ in no more places than the sets have unshared
+shingles, and a pair with too many differences needs no whole sets. Each
+remaining pair is verified once, against both whole sets, after a suffix filter
+that bounds the overlap by counts over hash ranges.
 
 Classes rather than all pairs: equal sets are one node. A first round verifies
 each prefix list's members against one of them; then lists whose members are
@@ -79,9 +82,25 @@ def count_sketch(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
 
 # ------------------------------------------------------------------- heads
 
+def parity(h: np.ndarray) -> bytes:
+    """One bit per bucket of the hashes' low bits: odd or even. As many buckets
+    as the next power of two of the set's size, 64 at least."""
+    size = max(64, 1 << (len(h) - 1).bit_length())
+    bucket = (h & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bucket, minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def differences(x: bytes, y: bytes) -> int:
+    """Places where two parity maps differ, the larger one folded to the
+    smaller: never more than the shingles that only one of the sets holds."""
+    x, y = sorted((x, y), key=len)
+    y = np.bitwise_xor.reduce(np.frombuffer(y, np.uint8).reshape(-1, len(x)), axis=0).tobytes()
+    return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
+
+
 def heads(docs: DataFrame, sketch: np.ndarray, percent: int, words: int, id_col: str,
           text_col: str) -> DataFrame:
-    """(doc_id, text_key, n, set_id, prefix) per row; set_id is NULL for no set."""
+    """(doc_id, text_key, n, set_id, prefix, parity) per row; set_id is NULL for no set."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -89,7 +108,7 @@ def heads(docs: DataFrame, sketch: np.ndarray, percent: int, words: int, id_col:
         counts, shingler = shared.value, Shingler(words)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n, ids, prefix = [], [], []
+            n, ids, prefix, maps = [], [], [], []
             for text in texts_of(batch, text_col):
                 h = shingler.of(text)
                 n.append(len(h))
@@ -97,15 +116,17 @@ def heads(docs: DataFrame, sketch: np.ndarray, percent: int, words: int, id_col:
                 c = counts[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 k = prefix_length(len(h), percent) if len(h) else 0
                 prefix.append(h[np.lexsort((h, c))[:k]].view(np.int64))
+                maps.append(parity(h) if len(h) else None)
             return pa.RecordBatch.from_arrays(
                 [batch.column(id_col), batch.column("text_key"), pa.array(n, pa.int64()),
-                 pa.array(ids, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc_id", "text_key", "n", "set_id", "prefix"])
+                 pa.array(ids, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
+                 pa.array(maps, pa.binary())],
+                names=["doc_id", "text_key", "n", "set_id", "prefix", "parity"])
         return run
 
     keyed = docs.select(id_col, text_col, F.xxhash64(text_col).alias("text_key"))
     return map_batches(keyed, make, f"doc_id {id_type}, text_key bigint, n bigint, "
-                                    "set_id bigint, prefix array<bigint>")
+                                    "set_id bigint, prefix array<bigint>, parity binary")
 
 
 # --------------------------------------------------------------- candidates
@@ -198,6 +219,26 @@ def long_list_groups(known: DataFrame) -> DataFrame:
         "g", "side", "set_id")
 
 
+def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The stored ``pairs`` (a, b) whose parity maps differ in no more places
+    than sets of the similarity may; only maps are shuffled."""
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "paired")
+    maps = staged(sets.select("set_id", "n", "parity").join(sized(ids), "set_id"), "parities")
+    both = (pairs.join(maps.toDF("a", "n1", "x"), "a").join(maps.toDF("b", "n2", "y"), "b")
+            .select("a", "b", (F.col("n1") + F.col("n2")).alias("n"), "x", "y"))
+
+    def make():
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            differ = [differences(x, y) for x, y in zip(batch.column("x").to_pylist(),
+                                                        batch.column("y").to_pylist())]
+            some = (100 + percent) * np.array(differ, np.int64) \
+                <= (100 - percent) * batch.column("n").to_numpy()
+            return batch.select(["a", "b"]).filter(pa.array(some))
+        return run
+
+    return staged(map_batches(both, make, "a bigint, b bigint"), "plausible")
+
+
 def pair_groups(pairs: DataFrame) -> DataFrame:
     """(g, side, set_id): each first set with up to about BLOCK of its partners."""
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"))
@@ -305,11 +346,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS,
         return verified(docs, nodes, groups, percent, words, id_col, text_col)
 
     tried = staged(star_pairs(post, percent), "stars")
-    first = links(pair_groups(tried))
+    first = links(pair_groups(plausible(tried, firsts, percent)))
     mixed = staged(mixed_lists(post, components(first)), "mixed-lists")
     rest = staged(short_list_pairs(mixed.filter(F.col("len") <= SHORT), percent)
                   .join(tried, ["a", "b"], "left_anti"), "pairs")
-    second = links(pair_groups(rest).union(long_list_groups(mixed.filter(F.col("len") > SHORT))))
+    second = links(pair_groups(plausible(rest, firsts, percent))
+                   .union(long_list_groups(mixed.filter(F.col("len") > SHORT))))
     found = components(first.union(second))
     ends = nodes.join(found, nodes.set_id == found.node, "left").select(
         "set_id", "least", F.coalesce("component", "set_id").alias("component"))

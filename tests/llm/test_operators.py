@@ -308,3 +308,14 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
         docs = out
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMOKE)
     assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_parity_maps_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n, m, both = rng.integers(1, 400, 3)
+        pool = rng.integers(0, 1 << 63, n + m + both, dtype=np.uint64)
+        a, b = np.unique(pool[:n + both]), np.unique(pool[n:])
+        apart = len(np.setxor1d(a, b))
+        assert jaccard_join.differences(jaccard_join.parity(a), jaccard_join.parity(b)) <= apart
+        assert jaccard_join.differences(jaccard_join.parity(a), jaccard_join.parity(a)) == 0
