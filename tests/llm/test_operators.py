@@ -262,6 +262,36 @@ def test_nn_descent_equals_brute_force(spark, monkeypatch):
     assert nn_descent.near_duplicates(df.limit(0)).count() == 0
 
 
+def link_counts(rows):
+    """Links of each row (id, vector, label) of finite vectors of one size."""
+    x = np.array([v for _, v, _ in rows], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([m for *_, m in rows])
+    link = (x @ x.T >= 0.98) & (label[:, None] == label[None])
+    np.fill_diagonal(link, False)
+    return {r[0]: int(n) for r, n in zip(rows, link.sum(1))}
+
+
+VECTORS = "vec_id bigint, embedding array<float>, label int"
+
+
+@pytest.mark.parametrize("enough", (5, 1000))
+def test_nn_descent_finishes_what_the_lists_miss(spark, monkeypatch, enough):
+    # one table and no round: most pairs never meet, and a few slices tell it
+    common.tune(spark)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3000, 16))
+    x = np.concatenate([base, base[:60] + rng.normal(size=(60, 16)) * 0.03])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    monkeypatch.setattr(nn_descent, "SLICE", 700, raising=False)
+    monkeypatch.setattr(nn_descent, "ENOUGH", enough, raising=False)
+    got = nn_descent.near_duplicates(spark.createDataFrame(rows, VECTORS), tables=1, rounds=0,
+                                     attempts=1).collect()
+    want = link_counts(rows)
+    assert sum(n > 0 for n in want.values()) > 100
+    assert {r.vec_id: r.n_links for r in got} == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 501), (501, 501)],
                                   "a bigint, b bigint")
