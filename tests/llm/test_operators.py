@@ -292,6 +292,33 @@ def test_nn_descent_finishes_what_the_lists_miss(spark, monkeypatch, enough):
     assert {r.vec_id: r.n_links for r in got} == want
 
 
+def test_nn_descent_compares_all_pairs_of_small_labels(spark, monkeypatch):
+    # a label of 200 beside one of 3,000: its lists are whole without an audit
+    common.tune(spark)
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(100, 16))
+    x = np.concatenate([base, base + rng.normal(size=(100, 16)) * 0.09, rng.normal(size=(3000, 16))])
+    rows = [(i, v.tolist(), int(i >= 200)) for i, v in enumerate(x)]
+    monkeypatch.setattr(nn_descent, "audit", lambda *_: (True, None))
+    got = nn_descent.near_duplicates(spark.createDataFrame(rows, VECTORS), tables=1, rounds=0,
+                                     attempts=1).filter("vec_id < 200").collect()
+    want = link_counts(rows[:200])
+    assert sum(n > 0 for n in want.values()) > 100
+    assert {r.vec_id: r.n_links for r in got} == want
+
+
+def test_nn_descent_first_lists_are_not_empty(spark):
+    # 12 bits for one part and 2 for another: each node has k neighbours to walk from
+    common.tune(spark)
+    x = np.random.default_rng(10).normal(size=(700, 16))
+    rows = [(i, v.tolist(), int(i < 300)) for i, v in enumerate(x)]
+    nodes = nn_descent.nodes_of(nn_descent.valid(spark.createDataFrame(rows, VECTORS))).withColumn(
+        "bits", F.when(F.col("part.label") == 1, 12).otherwise(2))
+    first = nn_descent.first_lists(nodes, 8, 6, 12, 11).withColumn("new", F.lit(True))
+    sizes = nn_descent.trimmed(first, 8).groupBy("u").count().collect()
+    assert len(sizes) == 700 and all(r["count"] == 8 for r in sizes)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 501), (501, 501)],
                                   "a bigint, b bigint")
