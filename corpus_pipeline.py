@@ -1,9 +1,9 @@
 """A training-corpus pipeline: five stages, each written and read again.
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
-returns the columns of ``docs``; the last returns packed pieces. Rows with a
-NULL id pass the near-duplicate and decontamination stages unless their own
-text is rejected by language. ``run`` applies the stages to ``documents``.
+returns the columns of ``docs``; the last returns packed pieces. Stages drop
+rows for their own text, whatever their id: NULL or repeated ids are rows like
+others. ``run`` applies the stages to ``documents``.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import decontamination, jaccard_join, language_id, packing, secret_scan
-from marketlake.llm.common import sized, staged, tune
+from marketlake.llm.common import sized, staged, tune, with_uid
 from marketlake.sources.tables import read_table
 
 MIN_LANGUAGE_SCORE = 0.4
@@ -32,17 +32,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: one document of each class of near duplicates stays."""
+    """Operator 7: one row of each class of near duplicates stays."""
     tune(spark)
-    return jaccard_join.keep_one_each(docs)
+    return jaccard_join.keep_one_row_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents that hold a benchmark passage go."""
-    told = decontamination.contamination(docs, read_table(tune(spark), sf_dir, "benchmark"))
-    gone = staged(told.filter("contaminated").select(F.col("doc_id").alias("_gone")).distinct(),
+    """Operator 6: rows that hold a benchmark passage go."""
+    benchmark = read_table(tune(spark), sf_dir, "benchmark")
+    rows = with_uid(docs)
+    told = decontamination.contamination(rows, benchmark, id_col="_uid")
+    gone = staged(told.filter("contaminated").select(F.col("doc_id").alias("_uid")),
                   "contaminated")
-    return docs.join(sized(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    return rows.join(sized(gone), "_uid", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

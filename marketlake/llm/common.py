@@ -50,6 +50,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_uid(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number of each row (column ``_uid``)."""
+    return staged(docs.withColumn("_uid", F.monotonically_increasing_id()), "rows")
+
+
 SMALL_ROWS = 2_000_000   # rows of ids (some 16 bytes each) that may be broadcast
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import map_batches, sized, staged, texts_of
+from marketlake.llm.common import map_batches, sized, staged, texts_of, with_uid
 from marketlake.llm.components import components, spanning
 from marketlake.llm.shingles import WORDS, Shingler, mix
 
@@ -373,6 +373,23 @@ def keep_one_each(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     return docs.join(sized(gone), F.col(id_col) == F.col("_gone"), "left_anti")
 
 
+def keep_one_row_each(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of rows: the one with the smallest
+    id (NULL last), of several with that id the first stored."""
+    rows = with_uid(docs)
+    told = near_duplicates(rows, percent, id_col="_uid", text_col=text_col).select(
+        F.col("doc_id").alias("_uid"), F.col("component_id").alias("_class"))
+    known = staged(told.join(rows.select("_uid", F.col(id_col).alias("_id")), "_uid"), "classes")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_uid"))
+    kept = staged(known.groupBy("_class").agg(first["_uid"].alias("_kept"),
+                                              F.count(F.lit(1)).alias("n"))
+                  .filter(F.col("n") > 1).drop("n"), "kept")
+    gone = staged(known.join(sized(kept), "_class").filter(F.col("_uid") != F.col("_kept"))
+                  .select("_uid"), "removed")
+    return rows.join(sized(gone), "_uid", "left_anti").select(*docs.columns)
+
+
 ORACLE = r"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),

@@ -367,6 +367,40 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def kept_rows(docs):
+    return Counter((r.doc_id, r.text) for r in docs.collect())
+
+
+def test_pipeline_stages_drop_rows_not_ids(spark, corpus):
+    """NULL ids, repeated rows and one id on two texts."""
+    import corpus_pipeline
+    items = spark.read.parquet(f"{SMOKE}/benchmark.parquet").collect()
+    long = next(r.text for r in items if len((r.text or "").split()) > 12)
+    held = f"before {long} after"
+    extra = rows_of([held, held, held, corpus[13][1], ODD[5]], [None, 900, 901, 900, None])
+    rows = corpus + extra
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    hit = {r[1]: brute_hits(r[1], [(i.item_id, i.text) for i in items])[-1] for r in rows}
+    assert hit[held] and not hit[corpus[13][1]]
+    out = corpus_pipeline.decontaminate(spark, docs, SMOKE)
+    assert out.columns == docs.columns
+    assert kept_rows(out) == Counter(r[:2] for r in rows if not hit[r[1]])
+
+    # brute force with row numbers as ids, in the order the stage prefers
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    told = brute_classes([(n, *r[1:]) for n, r in enumerate(order)])
+    out = corpus_pipeline.near_duplicates(spark, docs, SMOKE)
+    want = [(r, c[2]) for r, c in zip(order, told)]
+    assert out.columns == docs.columns
+    # a class keeps one row, of its smallest id
+    assert Counter(r.doc_id for r in out.collect()) == Counter(
+        r[0] for n, (r, c) in enumerate(want) if c == n)
+    texts = {c: {r[1] for r, d in want if d == c} for _, c in want}
+    assert Counter(min(c for c in texts if r.text in texts[c]) if r.text and r.text.split() else -1
+                   for r in out.collect()) == Counter(
+        c if r[1] and r[1].split() else -1 for n, (r, c) in enumerate(want) if c == n)
+
+
 def test_parity_maps_never_differ_more_than_the_sets():
     rng = np.random.default_rng(3)
     for _ in range(300):
