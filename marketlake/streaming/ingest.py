@@ -8,6 +8,9 @@ in the raw table, year-partitioned append).
 * File-level exactly-once comes from the stream checkpoint (shared folder).
 * Replays are harmless: the anti-join drops keys that already landed, so a
   batch re-run after a failure between write and commit adds nothing.
+* Rows without a date or ticker are set aside in a rejects table (beside the
+  target unless another path is given); a batch that is re-run appends its
+  rejects again.
 * No watermark: the anti-join is against the target's keys, as in the batch
   loader; state lives in the target table, not in the stream.
 """
@@ -30,12 +33,14 @@ def ingest_batch(target_path: str, rejects_path: str | None = None):
 
 
 def start_landing_ingest(spark: SparkSession, landing_path: str, target_path: str,
-                         checkpoint_path: str, available_now: bool = True):
+                         checkpoint_path: str, available_now: bool = True,
+                         rejects_path: str | None = None):
     """Start the stream; with ``available_now`` it processes what is there
     and stops (scheduled runs), otherwise it keeps polling."""
+    rejects_path = rejects_path or target_path.rstrip("/") + "-rejects"
     stream = (spark.readStream.schema(sinks.LANDING_SCHEMA)
               .option("basePath", landing_path).json(landing_path))
-    writer = (stream.writeStream.foreachBatch(ingest_batch(target_path))
+    writer = (stream.writeStream.foreachBatch(ingest_batch(target_path, rejects_path))
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="1 minute")
@@ -43,8 +48,9 @@ def start_landing_ingest(spark: SparkSession, landing_path: str, target_path: st
 
 
 def run_once(spark: SparkSession, landing_path: str, target_path: str,
-             checkpoint_path: str) -> None:
-    q = start_landing_ingest(spark, landing_path, target_path, checkpoint_path)
+             checkpoint_path: str, rejects_path: str | None = None) -> None:
+    q = start_landing_ingest(spark, landing_path, target_path, checkpoint_path,
+                             rejects_path=rejects_path)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -122,3 +122,17 @@ def test_forecast_block_invariance(spark, run):
     assert a.keys() == b.keys()
     for k, v in a.items():
         assert abs(v - b[k]) <= 1e-4 + 1e-9 * abs(v)
+
+
+def test_stream_sets_rejects_aside(spark):
+    landing, target, ckpt = (sinks.scratch(spark, x) for x in ("test-junk", "test-raw", "test-ckpt"))
+    bar = '"open": "1", "high": "2", "low": "1", "close": "2", "adjClose": "2", "volume": "5"}'
+    lines = [f'{{"date": "2024-01-02T00:00:00.000", {bar}', f'{{"date": "no date", {bar}']
+    spark.createDataFrame([(x, "2024-01-03", "AAA") for x in lines],
+                          "value string, run_date string, ticker string").coalesce(1) \
+        .write.partitionBy("run_date", "ticker").text(landing)
+    ingest.run_once(spark, landing, target, ckpt)
+    ingest.run_once(spark, landing, target, ckpt)              # nothing new
+    assert sinks.read_prices(spark, target).count() == 1
+    bad = spark.read.parquet(f"{target}-rejects").collect()
+    assert [(r.date, r.ticker, r.close) for r in bad] == [(None, "AAA", 2.0)]
