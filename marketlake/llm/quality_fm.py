@@ -55,7 +55,7 @@ def statistics(text: str, n_chars: int | None) -> list[float]:
             6 * share(SYMBOLS), 8 * (len(lines) / size if size else 0.0),
             distinct / n if n else 0.0, math.log1p(n - distinct) / 5,
             1 - len(set(lines)) / len(lines) if lines else 0.0,
-            max(map(len, words)) / 50 if n and n < 1_000_000 else 0.0,
+            max(map(len, words)) / 50 if n else 0.0,
             math.log1p(max(0, len(text) if n_chars is None else n_chars)) / 5 - 1]
 
 

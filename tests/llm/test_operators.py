@@ -401,6 +401,11 @@ def test_pipeline_stages_drop_rows_not_ids(spark, corpus):
         c if r[1] and r[1].split() else -1 for n, (r, c) in enumerate(want) if c == n)
 
 
+def test_longest_word_of_a_very_long_text():
+    few, many = (quality_fm.statistics("abcdefghij " + "a " * n, None) for n in (999_998, 999_999))
+    assert few[10] == many[10] == 10 / 50
+
+
 def test_parity_maps_never_differ_more_than_the_sets():
     rng = np.random.default_rng(3)
     for _ in range(300):
