@@ -72,8 +72,9 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("pack", pack),
 ]
 
-# Trained and packed results are not SQL; tests hold the stages against
-# brute-force versions.
+# Trained and packed results are not SQL; tests hold the rows and texts of the
+# stages on a small table against brute-force versions (language: against its
+# operator, as its model is trained).
 ORACLE_SQL = None
 
 

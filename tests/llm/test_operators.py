@@ -401,6 +401,31 @@ def test_pipeline_stages_drop_rows_not_ids(spark, corpus):
         c if r[1] and r[1].split() else -1 for n, (r, c) in enumerate(want) if c == n)
 
 
+def test_language_and_redaction_stages_keep_exact_rows(spark):
+    import corpus_pipeline
+    given = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    docs = given.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(
+        [(-1, "12 34 !!", "en"), (-2, "", "en"), (None, "\u2014 99", None)],
+        "doc_id bigint, text string, lang string").select(
+            F.col("doc_id").cast(given.schema["doc_id"].dataType).alias("doc_id"), "text", "lang"))
+    docs = common.staged(docs, "language-test")
+    told = {r.doc_id: r for r in language_id.identify_languages(docs).collect()}
+    out = corpus_pipeline.language(spark, docs, SMOKE)
+    assert out.columns == docs.columns
+    assert kept_rows(out) == Counter(
+        (r.doc_id, r.text) for r in docs.collect() if any(x.isalpha() for x in r.text)
+        and told[r.doc_id].score >= corpus_pipeline.MIN_LANGUAGE_SCORE)
+
+    key = "ghp_" + "a" * 36
+    rows = [(1, f"see {key} end", 9), (2, "no secret", 9), (None, f"{key}", 9), (4, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
+    got = corpus_pipeline.redact_secrets(spark, docs, SMOKE)
+    assert got.columns == docs.columns
+    same(got.collect(), [(i, t and t.replace(key, "[secret]"),
+                          len(t.replace(key, "[secret]")) if t and key in t else c)
+                         for i, t, c in rows])
+
+
 def test_longest_word_of_a_very_long_text():
     few, many = (quality_fm.statistics("abcdefghij " + "a " * n, None) for n in (999_998, 999_999))
     assert few[10] == many[10] == 10 / 50
