@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from marketlake.session import scratch_path
 from marketlake.sources.tables import read_table
 
-# Rows per Arrow batch handed to Python: bounds a worker's memory by the
-# rows (very long texts included) rather than by Spark's default of 10,000.
+# Rows and bytes per Arrow batch handed to Python: a batch ends at whichever
+# comes first, so a worker holds some MB or one longer row.
 ARROW_ROWS = 512
+ARROW_BYTES = "16m"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Arrow batch size, and the package on the workers' path."""
+    """Arrow batch sizes, and the package on the workers' path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     ship_package(spark)
     return spark
 

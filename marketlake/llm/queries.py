@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import (decontamination, jaccard_join, language_id, nn_descent, packing,
-                            quality_fm, secret_scan, suffix_dedup, token_counts, toxicity)
+from marketlake.llm import (decontamination, exact_topk, jaccard_join, language_id, nn_descent,
+                            packing, quality_fm, secret_scan, spelling_variants, suffix_dedup,
+                            token_alignment, token_counts, toxicity)
 from marketlake.llm.common import documents, tune
 from marketlake.sources.tables import read_table
 
@@ -77,6 +78,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(documents(spark, sf_dir),
+                                        public_tokenizers.path("byte_bpe_50k.json"),
+                                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.exact_top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(documents(spark, sf_dir))
+
+
 ORACLE["op2_nn_descent"] = nn_descent.ORACLE
 ORACLE["op6_decontamination"] = decontamination.ORACLE
 ORACLE["op7_jaccard_join"] = jaccard_join.ORACLE
+ORACLE["op12_exact_topk"] = exact_topk.ORACLE
+ORACLE["op13_spelling_variants"] = spelling_variants.ORACLE
