@@ -14,6 +14,7 @@ from marketlake.operators import forecast as fc
 from marketlake.operators.blocks import drop_internal
 from marketlake.operators.forecast import predict
 from marketlake.operators.forecast.prep import DEFAULT, ForecastConfig
+from marketlake.operators.forecast.search import Search, search_orders, search_steps
 from marketlake.operators.quality import last_price_at_global_date
 from marketlake.plans import layers
 from marketlake.sources import sinks
@@ -35,6 +36,14 @@ def _predictions(spark, sf_dir, run_date=MODEL_RUN_DATE, cfg=DEFAULT) -> DataFra
     return fc.predictions(forecast_run(spark, sf_dir, cfg), run_date, cfg)
 
 
+def order_search(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = DEFAULT) -> Search:
+    """The order search over the prepared series of the forecast run."""
+    key = (spark.sparkContext.applicationId, sf_dir, cfg, "orders")
+    if key not in _RUNS:
+        _RUNS[key] = search_orders(forecast_run(spark, sf_dir, cfg).rows, cfg)
+    return _RUNS[key]
+
+
 # ------------------------------------------------------------------ keys
 
 def training_set(spark, sf_dir):
@@ -95,6 +104,36 @@ def fit_status(spark, sf_dir):
     return fc.fit.fit_status(r.rows, r.candidates)
 
 
+def order_report(models: DataFrame) -> DataFrame:
+    """Searched orders at report precision."""
+    short = lambda c: F.transform(c, lambda x: F.round(x, 4))
+    return models.select(
+        "ticker", "d", "p", "q", short("ar").alias("ar"), short("ma").alias("ma"),
+        F.round("mean", 4).alias("mean"), F.round("sigma2", 2).alias("sigma2"), "n_fit",
+        F.round("log_likelihood", 4).alias("log_likelihood"), F.round("aic", 4).alias("aic"))
+
+
+def order_candidates(spark, sf_dir):
+    return order_report(order_search(spark, sf_dir).candidates)
+
+
+def order_models(spark, sf_dir):
+    return order_report(order_search(spark, sf_dir).models)
+
+
+def order_tests(spark, sf_dir):
+    """Differencing orders with the level-test statistics behind them."""
+    return order_search(spark, sf_dir).tests.select(
+        "ticker", "n", F.round("kpss0", 6).alias("kpss0"), F.round("kpss1", 6).alias("kpss1"), "d")
+
+
+def order_predictions(spark, sf_dir):
+    """The predictions mart from the searched models."""
+    run = forecast_run(spark, sf_dir)
+    return predict.predictions(search_steps(order_search(spark, sf_dir)), run.weekday_effects,
+                               run.holiday_effects, run.holidays, MODEL_RUN_DATE)
+
+
 def predictions(spark, sf_dir):
     return _predictions(spark, sf_dir)
 

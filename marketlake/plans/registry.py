@@ -277,6 +277,10 @@ register("forecast_fit")(fcp.fit_candidates)
 register("forecast_model_select")(fcp.model_select)
 register("forecast_evaluate")(fcp.evaluate)
 register("forecast_fit_status")(fcp.fit_status)
+register("forecast_order_tests")(fcp.order_tests)
+register("forecast_order_candidates")(fcp.order_candidates)
+register("forecast_order_search")(fcp.order_models)
+register("forecast_order_predictions")(fcp.order_predictions)
 register("forecast_predictions")(fcp.predictions)
 register("forecast_predictions_sorted")(fcp.predictions_sorted)
 register("forecast_business_calendar")(fcp.business_calendar_predictions)
@@ -292,6 +296,28 @@ register("mart_with_metadata", with_ctes(
 # oracle SQL of the forecast chain
 from marketlake.plans import sql_forecast as sqf  # noqa: E402
 
+register_cte("kpss_value", (
+    "SELECT ticker, 0 AS k, i, s AS v FROM (SELECT ticker, s, "
+    "row_number() OVER (PARTITION BY ticker ORDER BY date) AS i FROM fc_rows) UNION ALL "
+    "SELECT ticker, 1, i, v FROM (SELECT ticker, row_number() OVER w AS i, "
+    "s - lag(s) OVER w AS v FROM fc_rows WINDOW w AS (PARTITION BY ticker ORDER BY date)) "
+    "WHERE v IS NOT NULL"), ["fc_rows"])
+register_cte("kpss_dev", (
+    "SELECT ticker, k, i, v - avg(v) OVER (PARTITION BY ticker, k) AS e, "
+    "count(*) OVER (PARTITION BY ticker, k) AS n, count(*) OVER (PARTITION BY ticker, k) + k "
+    "AS total FROM kpss_value"), ["kpss_value"])
+register_cte("kpss_cov", (
+    "SELECT a.ticker, a.k, l, sum(a.e * b.e) AS g FROM kpss_dev a, range(40) r(l) JOIN kpss_dev b "
+    "ON a.ticker = b.ticker AND a.k = b.k AND a.i = b.i + l "
+    "WHERE l <= floor(4 * pow(a.total / 100, 0.25)) GROUP BY a.ticker, a.k, l"), ["kpss_dev"])
+register_cte("kpss_stat", (
+    "SELECT ticker, k, total, top / (n * n * lrv) AS eta FROM (SELECT ticker, k, total, n, "
+    "sum(cum * cum) AS top FROM (SELECT ticker, k, total, n, sum(e) OVER (PARTITION BY ticker, k "
+    "ORDER BY i) AS cum FROM kpss_dev) GROUP BY ALL) JOIN (SELECT c.ticker, c.k, "
+    "sum(CASE WHEN l = 0 THEN g ELSE 2 * (1 - l / (floor(4 * pow(total / 100, 0.25)) + 1)) * g END) "
+    "/ any_value(n) AS lrv FROM kpss_cov c JOIN (SELECT DISTINCT ticker, k, n, total FROM kpss_dev) "
+    "USING (ticker, k) GROUP BY c.ticker, c.k) USING (ticker, k)"), ["kpss_dev", "kpss_cov"])
+
 ORACLE.update(sqf.ORACLE)
 ORACLE["forecast_predictions"] = sqf.prediction_sql(fcp.MODEL_RUN_DATE)
 ORACLE["forecast_predictions_sorted"] = sqf.prediction_sql(
@@ -310,6 +336,13 @@ ORACLE["forecast_fit_status"] = with_ctes(
     "MAX(sigma2) AS max_var FROM fc_cand GROUP BY ticker) c USING (ticker)",
     "fc_rows", "fc_cand")
 _PRED_CTE = f"SELECT {sqf.PRED_COLS.format(run=fcp.MODEL_RUN_DATE)} FROM fc_pred"
+# level tests by definition: sums of squared partial sums over n^2 times the long-run variance
+ORACLE["forecast_order_tests"] = with_ctes(
+    "SELECT ticker, any_value(total) AS n, ROUND(max(CASE WHEN k = 0 THEN eta END), 6) AS kpss0, "
+    "ROUND(max(CASE WHEN k = 1 THEN eta END), 6) AS kpss1, "
+    "CASE WHEN max(CASE WHEN k = 0 THEN eta END) > 0.463 THEN "
+    "CASE WHEN max(CASE WHEN k = 1 THEN eta END) > 0.463 THEN 2 ELSE 1 END ELSE 0 END AS d "
+    "FROM kpss_stat GROUP BY ticker", "kpss_stat")
 ORACLE["history_and_forecast"] = sqf._recursive(with_ctes(
     "SELECT ticker, date, adj_close AS value, CAST(NULL AS DOUBLE) AS lower, "
     "CAST(NULL AS DOUBLE) AS upper, 'history' AS kind FROM daily UNION ALL "
