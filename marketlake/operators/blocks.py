@@ -23,9 +23,11 @@ dedup (one bar per date and ticker).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marketlake.session import scratch_path
+
 IDX = "_idx"        # 0-based position of the row inside its series
 LEN = "_len"        # rows in the series
 CHUNK = "_chunk"    # indexing group (calendar year by default)
@@ -39,29 +41,24 @@ DEFAULT_BLOCK_ROWS = 2048
 INTERNAL = [IDX, LEN, CHUNK, CSTART, CLEN, BLK, OWN]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint that computes its input once.
-
-    Writing a reliable checkpoint re-runs the plan unless the rows are
-    persisted, so they are persisted for the duration of the write and
-    released afterwards; later reads come from the checkpoint files in the
-    shared folder (survive executor loss, cut the lineage)."""
-    from pyspark import StorageLevel
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = held.checkpoint(eager=True)
-    held.unpersist()
-    return out
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` written once as a columnar table under the shared folder and read
+    back: later readers prune columns and push filters into the scan, the
+    lineage is cut, and lost executors read the files again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def index_series(df: DataFrame, key: str = "ticker", order: str = "date",
                  chunk: Column | None = None, cut_input: bool = True) -> DataFrame:
     """Add _idx, _len, _chunk, _cstart, _clen to each row.
 
-    The input is read twice (chunk counts, then rows); with ``cut_input``
-    it is checkpointed first (reliable, shared checkpoint folder), so the
-    upstream plan runs once and the lineage — which otherwise doubles with
-    every such step — is cut. The result exposes ``.base`` (checkpointed
-    input), ``.offsets`` (one row per key and chunk) and ``.order``.
+    The input is read twice (chunk counts from two columns, then rows); with
+    ``cut_input`` it is stored first, so the upstream plan runs once and the
+    lineage — which otherwise doubles with every such step — is cut. The result
+    exposes ``.base`` (stored input), ``.offsets`` (one row per key and chunk)
+    and ``.order``.
     """
     chunk = F.year(order) if chunk is None else chunk
     c = df.withColumn(CHUNK, chunk)
@@ -98,6 +95,13 @@ def block_windows(indexed: DataFrame, key: str, lookback: int,
     depend on at most ``lookback`` rows before and ``lookahead`` rows after a
     row; for chained windows the halo sizes must cover the whole chain.
     """
+    return over_blocks(spread_blocks(indexed, lookback, block_rows, lookahead), build, key, frame)
+
+
+def spread_blocks(indexed: DataFrame, lookback: int, block_rows: int = DEFAULT_BLOCK_ROWS,
+                  lookahead: int = 0) -> DataFrame:
+    """Rows under their block, and as halo copies under the blocks that look
+    back or ahead to them."""
     if block_rows <= max(lookback, lookahead):
         raise ValueError("block_rows must exceed the halo")
     idx = F.col(IDX)
@@ -109,13 +113,45 @@ def block_windows(indexed: DataFrame, key: str, lookback: int,
     to_prev = (pos < lookahead) & (own > 0) if lookahead > 0 else F.lit(False)
     targets = F.filter(F.array(own, F.when(to_next, own + 1), F.when(to_prev, own - 1)),
                        lambda b: b.isNotNull())
-    spread = (indexed.withColumn(BLK, F.explode(targets))
-              .withColumn(OWN, F.col(BLK) == own))
+    return indexed.withColumn(BLK, F.explode(targets)).withColumn(OWN, F.col(BLK) == own)
+
+
+def over_blocks(spread: DataFrame, build, key: str = "ticker", frame: bool = False) -> DataFrame:
+    """Window columns over spread rows, without the halo copies. On a stored
+    series table (``store_series``) the windows need no exchange."""
     w = Window.partitionBy(key, BLK).orderBy(IDX)
     out = build(spread, w) if frame else spread.select("*", *build(w))
     return out.filter(F.col(OWN)).drop(OWN)
 
 
+def bucket_count(spark: SparkSession, rows: int) -> int:
+    """Buckets of a series table: enough to keep the session's shuffle width
+    busy with whole blocks, never over two million rows a bucket (up to the
+    100,000 buckets that Spark allows)."""
+    wide = min(-(-rows // 16_384), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return min(max(1, wide, -(-rows // 2_000_000)), 100_000)
+
+
+def store_series(df: DataFrame, lookback: int, name: str, key: str = "ticker",
+                 order: str = "date", chunk: Column | None = None,
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``df`` as a catalog table bucketed by (key, block), blocks with their
+    halo of ``lookback`` rows: every window that looks back no further reads it
+    without an exchange, as often as needed. Exposes what ``index_series``
+    does, and ``.table``, its name in the catalog."""
+    spark = df.sparkSession
+    indexed = index_series(df, key, order, chunk)
+    n = bucket_count(spark, indexed.base.count())
+    path = scratch_path(spark, name)
+    table = "marketlake_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    (spread_blocks(indexed, lookback, block_rows).repartition(n, key, BLK)
+     .write.format("parquet").option("path", path).bucketBy(n, key, BLK)
+     .sortBy(key, BLK, IDX).saveAsTable(table))
+    out = spark.table(table)
+    out.base, out.offsets, out.order, out.table = indexed.base, indexed.offsets, order, table
+    return out
+
+
 def block_running_sum(blocked: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Running sum of ``value`` over the whole series (rows ordered by _idx).
 
@@ -142,7 +178,7 @@ def block_anchors(indexed: DataFrame, key: str, value: str,
 
     Returns (key, _blk, anchor) or, with ``by_chunk``, (key, _blk, anchors)
     where ``anchors`` maps chunk -> first value. The first values are a
-    partial ``min_by`` aggregate over the checkpointed input (NULL kept when
+    partial ``min_by`` aggregate over the stored input (NULL kept when
     the first row's value is NULL); the block range of each series / chunk
     comes from the small offsets table, so the indexing is not run again.
     """
@@ -164,6 +200,24 @@ def block_anchors(indexed: DataFrame, key: str, value: str,
                  .alias("anchors")))
 
 
+def chunk_ends(indexed: DataFrame, key: str, value: str,
+               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """(key, _blk, ends): for every block a map chunk -> (first, last, start,
+    end) of the chunks that it touches: value and order of a chunk's first and
+    last row, carried back to blocks before the chunk's end as well as on to
+    those after its start. One partial aggregate over the stored input."""
+    base, offsets, order = indexed.base, indexed.offsets, indexed.order
+    ends = base.groupBy(key, CHUNK).agg(F.struct(
+        F.min_by(value, order).alias("first"), F.max_by(value, order).alias("last"),
+        F.min(order).alias("start"), F.max(order).alias("end")).alias("ends"))
+    spans = ends.join(offsets, [key, CHUNK]).select(
+        key, CHUNK, "ends",
+        F.explode(F.sequence(block_of(F.col(CSTART), block_rows),
+                             block_of(F.col(CSTART) + F.col(CLEN) - 1, block_rows))).alias(BLK))
+    return spans.groupBy(key, BLK).agg(
+        F.map_from_entries(F.collect_list(F.struct(CHUNK, "ends"))).alias("ends"))
+
+
 def series_blocks(blocked: DataFrame, key: str,
                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """(key, _blk) for every block of every series — one row per block,

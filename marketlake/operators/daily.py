@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions import relative_change
-from marketlake.operators.blocks import (BLK, DEFAULT_BLOCK_ROWS, block_anchors,
-                                         block_windows, drop_internal, index_series)
+from marketlake.operators.blocks import (BLK, DEFAULT_BLOCK_ROWS, block_anchors, drop_internal,
+                                         over_blocks, store_series)
 
 DAILY_COLUMNS = ["date", "ticker", "open", "high", "low", "close", "adj_close", "volume",
                  "daily_return", "price_range", "ma_7", "ma_30", "ma_90", "ma_200",
@@ -40,10 +40,10 @@ def mart_daily_ohlcv(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> Da
     base = stg.filter(F.col("is_valid")).select(
         "date", "ticker", "open", "high", "low", "close", "adj_close", "volume",
         "daily_return", "price_range")
-    indexed = index_series(base)
-    windowed = block_windows(indexed, "ticker", RANGE_WINDOW - 1, daily_windows, block_rows)
+    series = store_series(base, RANGE_WINDOW - 1, "valid-series", block_rows=block_rows)
+    windowed = over_blocks(series, daily_windows)
     # first adj_close of the series (NULL respected), carried to every block
-    anchors = block_anchors(indexed, "ticker", "adj_close", block_rows)
+    anchors = block_anchors(series, "ticker", "adj_close", block_rows)
     out = windowed.join(anchors, ["ticker", BLK], "left")
     out = out.withColumn("cumulative_return", relative_change("adj_close", "anchor"))
     return drop_internal(out).select(*DAILY_COLUMNS)

@@ -23,8 +23,9 @@ class ForecastRun:
     state: DataFrame
 
 
-def run(daily: DataFrame, cfg: ForecastConfig = DEFAULT) -> ForecastRun:
-    rows, hol_eff, wd_eff = prep.prepare(daily, cfg)
+def run(daily: DataFrame, cfg: ForecastConfig = DEFAULT,
+        series: DataFrame | None = None) -> ForecastRun:
+    rows, hol_eff, wd_eff = prep.prepare(daily, cfg, series)
     holidays = prep.cut(prep.holiday_windows(rows, cfg))
     design, kp = fit.design(rows, cfg)
     cands = prep.cut(fit.fit_candidates(design, kp, cfg))

@@ -16,9 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.operators.blocks import (BLK, DEFAULT_BLOCK_ROWS, IDX, block_running_sum,
-                                         block_windows, index_series, join_per_key,
-                                         materialize, series_blocks)
+from marketlake.operators.blocks import (BLK, DEFAULT_BLOCK_ROWS, IDX, OWN, block_running_sum,
+                                         block_windows, index_series, join_per_key, materialize,
+                                         over_blocks, series_blocks, spread_blocks)
 
 
 @dataclass(frozen=True)
@@ -69,17 +69,22 @@ def training_set(daily: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ M2
 
-def regularize(train: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFrame:
+def regularize(train: DataFrame, cfg: ForecastConfig = DEFAULT,
+               series: DataFrame | None = None) -> DataFrame:
     """Daily calendar: every day between a series' first and last date; a
     missing day is linearly interpolated between its neighbours. Each
-    observation emits the gap before it, so no unbounded window is needed."""
+    observation emits the gap before it, so no unbounded window is needed.
+    ``series``: the stored series table of the same bars, read without an
+    exchange."""
     base = train.select("ticker", "date", "y", F.lit(True).alias("observed"))
     if cfg.calendar != "daily":
         return base
-    indexed = index_series(train)
-    prev = block_windows(indexed, "ticker", 1, lambda w: [
-        F.lag("date").over(w).alias("prev_date"), F.lag("y").over(w).alias("prev_y")],
-        cfg.block_rows)
+    if series is None:
+        spread = spread_blocks(index_series(train), 1, cfg.block_rows)
+    else:
+        spread = series.select("ticker", "date", F.col("adj_close").alias("y"), IDX, BLK, OWN)
+    prev = over_blocks(spread, lambda w: [
+        F.lag("date").over(w).alias("prev_date"), F.lag("y").over(w).alias("prev_y")])
     gap = F.datediff("date", "prev_date")
     fills = (prev.filter(gap > 1)
              .select("ticker", "date", "y", "prev_date", "prev_y",
@@ -184,11 +189,11 @@ def holiday_windows(series: DataFrame, cfg: ForecastConfig = DEFAULT) -> DataFra
 # ------------------------------------------------------------------ M5 decomposition
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise to the shared checkpoint folder and cut the lineage.
+    """Store as a columnar table under the shared folder and cut the lineage.
 
     The forecast chain joins per-series aggregates back to their rows many
     times; without a cut every join repeats the whole upstream plan (and its
-    scan). A reliable checkpoint survives executor loss."""
+    scan)."""
     return materialize(df)
 
 
@@ -225,10 +230,10 @@ def decompose(adj: DataFrame, cfg: ForecastConfig = DEFAULT):
     return cut(out), hol_eff, wd_eff
 
 
-def prepare(daily: DataFrame, cfg: ForecastConfig = DEFAULT):
+def prepare(daily: DataFrame, cfg: ForecastConfig = DEFAULT, series: DataFrame | None = None):
     """daily mart -> (rows ready to fit, holiday effects, weekday effects)."""
-    train = cut(training_set(daily))
-    adj = cut(clean_and_adjust(cut(regularize(train, cfg)), cfg))
+    train = training_set(daily)
+    adj = cut(clean_and_adjust(regularize(train, cfg, series), cfg))
     return decompose(adj, cfg)
 
 

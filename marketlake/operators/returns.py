@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions import relative_change, safe_divide, up_flag, year_of
 from marketlake.operators.blocks import (BLK, CHUNK, DEFAULT_BLOCK_ROWS, block_anchors,
-                                         block_windows, drop_internal, index_series)
+                                         drop_internal, over_blocks, store_series)
 
 RETURNS_COLUMNS = ["date", "ticker", "adj_close", "daily_return", "volume", "weekly_return",
                    "monthly_return", "quarterly_return", "ytd_return", "cumulative_return",
@@ -33,16 +33,25 @@ def returns_windows(w) -> list:
     return cols
 
 
-def mart_stock_returns(daily: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS,
-                       ordered: bool = False) -> DataFrame:
+LOOKBACK = max(max(LAGS.values()), ROLL - 1)
+
+
+def priced_series(daily: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """The series table of bars with an adjusted close, for the returns and
+    the forecast. Chunk = calendar year: a year's first value is an anchor."""
     base = daily.filter(F.col("adj_close").isNotNull()).select(
         "date", "ticker", "adj_close", "daily_return", "volume")
-    # chunk = calendar year, so the per-year first value is a chunk anchor
-    indexed = index_series(base, chunk=year_of("date"))
-    lookback = max(max(LAGS.values()), ROLL - 1)
-    windowed = block_windows(indexed, "ticker", lookback, returns_windows, block_rows)
-    first = block_anchors(indexed, "ticker", "adj_close", block_rows)
-    ytd = block_anchors(indexed, "ticker", "adj_close", block_rows, by_chunk=True)
+    return store_series(base, LOOKBACK, "priced-series", chunk=year_of("date"),
+                        block_rows=block_rows)
+
+
+def mart_stock_returns(daily: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS,
+                       ordered: bool = False, series: DataFrame | None = None) -> DataFrame:
+    """``series``: the ``priced_series`` of ``daily`` if it is stored already."""
+    series = priced_series(daily, block_rows) if series is None else series
+    windowed = over_blocks(series, returns_windows)
+    first = block_anchors(series, "ticker", "adj_close", block_rows)
+    ytd = block_anchors(series, "ticker", "adj_close", block_rows, by_chunk=True)
     anchors = first.join(ytd, ["ticker", BLK], "left")
     out = windowed.join(anchors, ["ticker", BLK], "left").select(
         "*",

@@ -1,8 +1,8 @@
 """Forecast plans: daily mart -> prepared series -> models -> predictions.
 
 One ``ForecastRun`` per (application, data folder) is kept for the session:
-its stages are checkpointed (reliable, shared folder), so the keys below read
-the materialised stages instead of re-running the chain each time.
+its stages are stored in the shared folder, so the keys below read
+the stored stages instead of re-running the chain each time.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ _RUNS: dict = {}
 def forecast_run(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = DEFAULT):
     key = (spark.sparkContext.applicationId, sf_dir, cfg)
     if key not in _RUNS:
-        _RUNS[key] = fc.run(layers.daily(spark, sf_dir, cfg.block_rows), cfg)
+        _RUNS[key] = fc.run(layers.daily(spark, sf_dir, cfg.block_rows), cfg,
+                            layers.priced(spark, sf_dir, cfg.block_rows))
     return _RUNS[key]
 
 
@@ -51,7 +52,8 @@ def training_set(spark, sf_dir):
 
 
 def regularized(spark, sf_dir):
-    return fc.prep.regularize(fc.prep.training_set(layers.daily(spark, sf_dir)))
+    return fc.prep.regularize(fc.prep.training_set(layers.daily(spark, sf_dir)),
+                              series=layers.priced(spark, sf_dir))
 
 
 def spike_clean(spark, sf_dir):

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators import staging as stg_ops
+from marketlake.operators.quarterly import quarter_boundaries
 from marketlake.plans import layers
 from marketlake.plans.sql import with_ctes
 from marketlake.sources import panel
@@ -177,8 +178,17 @@ register("incremental_insert_new", with_ctes(
     rt.incremental_insert_new)
 register("landing_json_roundtrip", with_ctes("SELECT * FROM raw", "raw"))(
     rt.landing_json_roundtrip)
-register("read_landing_json", with_ctes("SELECT * FROM raw", "raw"))(
-    rt.landing_json_roundtrip)
+register("read_landing_json", with_ctes("SELECT * FROM raw", "raw"))(rt.read_landing_json)
+_MALFORMED = "day(date) = 1 AND ticker IN ('Brand#11', 'Brand#12')"
+_NO_DATE = "day(date) = 1 AND ticker = 'Brand#13'"
+register("load_csv_foreign", with_ctes(
+    f"SELECT * FROM raw WHERE NOT ({_MALFORMED}) AND NOT ({_NO_DATE})", "raw"))(
+    rt.load_csv_foreign)
+register("load_csv_rejects", with_ctes(
+    f"SELECT 'malformed' AS reason, ticker, COUNT(*) AS lines FROM raw WHERE {_MALFORMED} "
+    f"GROUP BY ticker UNION ALL SELECT 'date missing', ticker, COUNT(*) FROM raw WHERE {_NO_DATE} "
+    "GROUP BY ticker", "raw"))(rt.load_csv_rejects)
+register("compacted_prices", with_ctes("SELECT * FROM raw", "raw"))(rt.compacted_prices)
 register("retention_filter", with_ctes(
     "SELECT * FROM raw WHERE CAST(ingested_at AS DATE) >= DATE '2002-12-02' - INTERVAL 365 DAY",
     "raw"))(rt.retention_filter)
@@ -195,6 +205,19 @@ register("distinct_keys", with_ctes("SELECT DISTINCT date, ticker FROM raw", "ra
     lambda s, d: layers.raw(s, d).select("date", "ticker").distinct())
 register("end_to_end_marts", with_ctes("SELECT * FROM quarterly", "quarterly"))(
     rt.end_to_end_marts)
+register("replaced_layers", with_ctes(" UNION ALL ".join(
+    f"SELECT '{asset}' AS asset, COUNT(*) AS rows, COUNT(DISTINCT ticker) AS tickers FROM {cte}"
+    for asset, cte in (("stg_stock_prices", "stg"), ("stg_stock_metadata", "meta_stg"),
+                       ("mart_daily_ohlcv", "daily"), ("mart_stock_returns", "returns"),
+                       ("mart_quarterly_summary", "quarterly"))),
+    "stg", "meta_stg", "daily", "returns", "quarterly"))(rt.replaced_layers)
+register("quarterly_boundaries_rows", with_ctes(
+    "SELECT ticker, date, adj_close, FIRST_VALUE(date) OVER q AS quarter_start_date, "
+    "LAST_VALUE(date) OVER q AS quarter_end_date, FIRST_VALUE(adj_close) OVER q "
+    "AS quarter_open_price, LAST_VALUE(adj_close) OVER q AS quarter_close_price FROM daily "
+    "WINDOW q AS (PARTITION BY ticker, date_trunc('quarter', date) ORDER BY date "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)", "daily"))(
+    lambda s, d: quarter_boundaries(layers.daily(s, d)))
 
 # ------------------------------------------------------------------ quality and reports
 

@@ -7,12 +7,19 @@ is checked like any other query.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators import quality
+from marketlake.operators.daily import mart_daily_ohlcv
+from marketlake.operators.quarterly import mart_quarterly_summary
+from marketlake.operators.returns import mart_stock_returns
+from marketlake.operators.staging import stage_metadata, stage_prices
 from marketlake.plans import layers
-from marketlake.sources import files, panel, sinks
+from marketlake.sources import catalog, files, panel, sinks
 from marketlake.sources.schemas import PRICE_COLUMNS, RAW_PRICE_SCHEMA
 
 RETENTION_AS_OF = "2002-12-02"  # 365 days after the first landing run date + 1
@@ -116,8 +123,58 @@ def landing_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.scratch(spark, "landing-all")
     sinks.write_landing(panel.raw_prices(spark, sf_dir), path)
-    return sinks.apply_retention(spark, path, sinks.scratch(spark, "landing-kept"),
-                                 RETENTION_AS_OF)
+    sinks.expire_landing(spark, path, RETENTION_AS_OF)
+    return sinks.read_landing(spark, path)
+
+
+def read_landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files of both run dates, read with ticker and date from their
+    paths; one more file is cut off and set aside."""
+    path = sinks.scratch(spark, "landing-arrays")
+    sinks.write_array_landing(panel.raw_prices(spark, sf_dir), path)
+    (spark.range(1).select(F.lit('[{"date": "1995-01-02", "open": 1').alias("value"))
+     .coalesce(1).write.mode("append").text(f"{path}/run_date=2001-12-01/file=cut_prices_1995"))
+    rows, broken = sinks.read_array_landing(spark, path, ticker=F.initcap)
+    if broken.count() != 1:
+        raise RuntimeError("the cut file was not set aside")
+    return rows
+
+
+def foreign_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A price file of someone else: volumes of two tickers are no numbers on
+    the first of a month, dates of another are missing then."""
+    path = sinks.scratch(spark, "csv-foreign")
+    first = F.dayofmonth("date") == 1
+    raw = panel.raw_prices(spark, sf_dir).select(
+        F.when(~(first & (F.col("ticker") == "Brand#13")), F.col("date")).alias("date"),
+        "open", "high", "low", "close", "adj_close",
+        F.when(first & F.col("ticker").isin("Brand#11", "Brand#12"), F.lit("n/a"))
+        .otherwise(F.col("volume").cast("string")).alias("volume"), "ticker", "ingested_at")
+    raw.write.options(**{**files.CSV_OPTIONS, "nullValue": ""}).csv(path)
+    return path
+
+
+def load_csv_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.load_csv_with_rejects(spark, foreign_csv(spark, sf_dir), RAW_PRICE_SCHEMA,
+                                       required=("date", "ticker"))[0]
+
+
+def load_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines by reason and ticker."""
+    bad = files.load_csv_with_rejects(spark, foreign_csv(spark, sf_dir), RAW_PRICE_SCHEMA,
+                                      required=("date", "ticker"))[1]
+    return (bad.groupBy("reason", F.regexp_extract("line", r"(Brand#\d+)", 1).alias("ticker"))
+            .agg(F.count(F.lit(1)).alias("lines")))
+
+
+def compacted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches appended in parts, then compacted: the rows stay."""
+    path = sinks.scratch(spark, "raw-compacted")
+    for batch in layers.raw_batches(spark, sf_dir).values():
+        for part in range(3):
+            sinks.write_prices(batch.filter(F.pmod(F.month("date"), F.lit(3)) == part), path)
+    sinks.compact_prices(spark, path)
+    return sinks.read_prices(spark, path)
 
 
 def load_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,15 +206,41 @@ def filter_ticker_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b["F"].join(incoming, "ticker", "left_semi").select("date", "ticker").distinct()
 
 
+def replace_layers(spark: SparkSession, sf_dir: str, prefix: str) -> dict[str, str]:
+    """raw -> staging -> marts, every asset built from the tables before it and
+    made the table ``prefix``_name by create+replace, as the scheduled run
+    does. Returns asset -> table."""
+    names = {a: f"{prefix}_{a}" for a in ("stg_stock_prices", "stg_stock_metadata",
+                                          "mart_daily_ohlcv", "mart_stock_returns",
+                                          "mart_quarterly_summary")}
+
+    def build(asset: str, df: DataFrame, by_date: bool = True) -> DataFrame:
+        layout = {"partition_by": "date", "cluster_by": ("ticker",)} if by_date else {}
+        catalog.create_or_replace(spark, names[asset], df, **layout)
+        return spark.table(names[asset])
+
+    build("stg_stock_metadata", stage_metadata(files.normalize_metadata(
+        panel.raw_metadata(spark, sf_dir))), by_date=False)
+    staged = build("stg_stock_prices", stage_prices(layers.raw(spark, sf_dir)))
+    daily = build("mart_daily_ohlcv", mart_daily_ohlcv(staged))
+    build("mart_stock_returns", mart_stock_returns(daily), by_date=False)
+    build("mart_quarterly_summary", mart_quarterly_summary(daily), by_date=False)
+    return names
+
+
+def _replaced(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    return replace_layers(spark, sf_dir, "run_" + uuid.uuid4().hex[:12])
+
+
 def end_to_end_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw -> staging -> daily -> quarterly with each layer written
-    (create+replace) and read back, as the scheduled run does."""
-    base = sinks.scratch(spark, "layers")
-    layers.staged(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/stg")
-    from marketlake.operators.daily import mart_daily_ohlcv
-    from marketlake.operators.quarterly import mart_quarterly_summary
-    mart_daily_ohlcv(spark.read.parquet(f"{base}/stg")).write.mode("overwrite") \
-        .parquet(f"{base}/daily")
-    mart_quarterly_summary(spark.read.parquet(f"{base}/daily")).write.mode("overwrite") \
-        .parquet(f"{base}/quarterly")
-    return spark.read.parquet(f"{base}/quarterly")
+    """The quarterly mart read from its table after a whole run."""
+    return spark.table(_replaced(spark, sf_dir)["mart_quarterly_summary"])
+
+
+def replaced_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, tickers and adjusted closes of every table after a whole run."""
+    parts = [spark.table(table).agg(F.count(F.lit(1)).alias("rows"),
+                                    F.countDistinct("ticker").alias("tickers"))
+             .select(F.lit(asset).alias("asset"), "rows", "tickers")
+             for asset, table in _replaced(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, parts)

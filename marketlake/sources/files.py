@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions import cut, to_bigint, to_double
+from marketlake.operators.blocks import materialize
 from marketlake.sources.schemas import (API_PRICE_RECORD_SCHEMA, METADATA_COLUMNS,
                                         PRICE_COLUMNS, RAW_METADATA_SCHEMA, RAW_PRICE_SCHEMA)
 
 # CSV dialect of the fixtures: header row, RFC 4180 doubled quotes, quoted
 # newlines allowed where text is quoted (``TEXT_OPTIONS``), microsecond
-# timestamps without zone, whitespace kept. A marker stands for a missing value,
-# so empty text stays empty text; a malformed line fails the load.
+# timestamps without zone, whitespace kept. A marker stands for a missing value
+# in files written here. In any file quoted empty text ("") is empty text and a
+# field with nothing in it is missing. A malformed line fails the load, unless
+# the load has a reject channel (``load_csv_with_rejects``).
 CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -50,6 +53,31 @@ def load_csv_metadata(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, RAW_METADATA_SCHEMA, quoted_lines=True)
 
 
+def load_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType,
+                          required: tuple[str, ...] = (), max_rejects: int | None = None,
+                          quoted_lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): a load that sets aside the lines that do not fit the
+    schema (wrong number of fields, unreadable numbers or dates) and those
+    without a ``required`` value, with the reason, the line and its file. More
+    than ``max_rejects`` of them fail the load."""
+    options = {**CSV_OPTIONS, **(TEXT_OPTIONS if quoted_lines else {}), "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": "_line"}
+    wide = T.StructType([*schema.fields, T.StructField("_line", T.StringType(), True)])
+    # parsed once: rows and rejects are two reads of what is stored
+    parsed = materialize(spark.read.schema(wide).options(**options).csv(path).withColumn(
+        "_file", F.col("_metadata.file_path")), "parsed-csv")
+    missing = [F.when(F.col(c).isNull(), F.lit(f"{c} missing")) for c in required]
+    reason = F.when(F.col("_line").isNotNull(), F.lit("malformed")).otherwise(
+        F.coalesce(F.lit(None).cast("string"), *missing))
+    told = parsed.withColumn("reason", reason)
+    bad = told.filter(F.col("reason").isNotNull())
+    if max_rejects is not None and (n := bad.limit(max_rejects + 1).count()) > max_rejects:
+        raise ValueError(f"more than {max_rejects} rejected lines in {path} ({n} read)")
+    shown = F.coalesce("_line", F.to_csv(F.struct(*schema.fieldNames())))
+    return (told.filter(F.col("reason").isNull()).select(*schema.fieldNames()),
+            bad.select("reason", shown.alias("line"), F.col("_file").alias("file")))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
@@ -133,12 +161,5 @@ def normalize_api_metadata(records: DataFrame, requested: str = "requested",
     return good.unionByName(bad).select(*METADATA_COLUMNS)
 
 
-def failed_metadata_row(spark: SparkSession, ticker: str, fetched_at: str) -> DataFrame:
-    """Row kept for a ticker whose fetch failed: only ticker and time."""
-    return spark.createDataFrame([(ticker, None, None, None, None, None, None)],
-                                 RAW_METADATA_SCHEMA).withColumn(
-        "fetched_at", F.lit(fetched_at).cast("timestamp"))
-
-
 def empty_prices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_PRICE_SCHEMA)

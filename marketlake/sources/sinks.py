@@ -11,12 +11,18 @@ Layout choices for scale:
   batch's years, dates and tickers, and anti-joins on (date, ticker) — the
   shuffle key includes the date, so no ticker is a hot key;
 * replace-by-run-date uses dynamic partition overwrite: only the run's
-  partition is rewritten, atomically per partition through the commit protocol.
+  partition is rewritten, atomically per partition through the commit protocol;
+* loads with a batch key write to the batch's own folder and replace it when
+  the batch runs again, rejects included;
+* retention drops whole run-date folders; compaction rewrites only the years
+  whose files are many or overlap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +33,7 @@ from marketlake.sources.schemas import PRICE_COLUMNS, RAW_PRICE_SCHEMA
 KEY = ["date", "ticker"]
 VALUE_COLUMNS = ["open", "high", "low", "close", "adj_close", "volume"]
 TARGET_SCHEMA = T.StructType([*RAW_PRICE_SCHEMA.fields,
+                              T.StructField("batch", T.StringType(), True),
                               T.StructField("year", T.IntegerType(), True)])
 
 
@@ -36,14 +43,26 @@ def _clustered(df: DataFrame) -> DataFrame:
             .sortWithinPartitions("year", "ticker", "date"))
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) through Hadoop, for any cluster file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    # Hadoop FS check through the JVM so it works for any cluster filesystem.
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _folder(spark, path)
     return fs.exists(p)
 
 
+def partition_folders(spark: SparkSession, path: str, column: str) -> dict[str, str]:
+    """value -> folder of the partitions by ``column`` right under ``path``;
+    only the listing is read."""
+    fs, p = _folder(spark, path)
+    found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+    return {f.getName().split("=", 1)[1]: f.toString() for f in found
+            if f.getName().startswith(f"{column}=")}
+
+
 def write_prices(df: DataFrame, path: str, mode: str = "append") -> None:
     """Append (or overwrite) price rows, year-partitioned, ticker-clustered."""
     _clustered(df.select(*PRICE_COLUMNS)).write.mode(mode).partitionBy("year").parquet(path)
@@ -84,43 +103,52 @@ def latest_per_key(batch: DataFrame) -> DataFrame:
         F.col("_b.ingested_at").alias("ingested_at")).select(*PRICE_COLUMNS)
 
 
-def existing_keys(batch: DataFrame, target_path: str) -> DataFrame:
+def existing_keys(batch: DataFrame, target_path: str, batch_key: str | None = None) -> DataFrame:
     """Keys of the target inside the batch's years, dates and tickers: the
-    years prune folders, the ranges reach the parquet scan."""
+    years prune folders, the ranges reach the parquet scan. Rows that an
+    earlier run of the same batch left are not counted."""
     span = batch.agg(F.min("date").alias("d0"), F.max("date").alias("d1"),
                      F.min("ticker").alias("t0"), F.max("ticker").alias("t1")).first()
     keys = batch.sparkSession.read.schema(TARGET_SCHEMA).parquet(target_path)
     if span.d0 is None:
         return keys.select(*KEY).limit(0)
+    if batch_key is not None:
+        keys = keys.filter(~F.col("batch").eqNullSafe(F.lit(batch_key)))
     return keys.filter(F.col("year").between(span.d0.year, span.d1.year)
                        & F.col("date").between(span.d0, span.d1)
                        & F.col("ticker").between(span.t0, span.t1)).select(*KEY)
 
 
-def new_rows(batch: DataFrame, target_path: str) -> DataFrame:
+def new_rows(batch: DataFrame, target_path: str, batch_key: str | None = None) -> DataFrame:
     """Admissible rows of ``batch``, one per key, whose (date, ticker) is not
     in the target yet. A missing target means first load (checked explicitly;
     other read errors surface instead of being taken as "first run")."""
     rows = latest_per_key(admissible(batch))
     if not _exists(batch.sparkSession, target_path):
         return rows
-    return rows.join(existing_keys(rows, target_path), KEY, "left_anti")
+    return rows.join(existing_keys(rows, target_path, batch_key), KEY, "left_anti")
 
 
 def insert_new(spark: SparkSession, batch: DataFrame, target_path: str,
-               rejects_path: str | None = None) -> dict:
+               rejects_path: str | None = None, batch_key: str | None = None) -> dict:
     """Idempotent load, for batches and micro-batches: append only unseen
     keys, write nothing when none are left, append rejects to
     ``rejects_path`` if given. The batch is stored once for all its uses.
+    With a ``batch_key`` rows and rejects go to the batch's own folder
+    (``batch=``), which a second run of the batch replaces: whatever an
+    interrupted run left, the tables end as after one clean run.
     Returns the counts before, after, rejected and removed."""
     batch = materialize(batch.select(*PRICE_COLUMNS))
-    fresh = materialize(new_rows(batch, target_path))  # the count and the write agree
+    # stored, so that the count and the write agree
+    fresh = materialize(new_rows(batch, target_path, batch_key))
     bad = rejects(batch)
     before, after, rejected = batch.count(), fresh.count(), bad.count()
-    if after:
-        write_prices(fresh, target_path, "append")
-    if rejected and rejects_path:
-        bad.write.mode("append").parquet(rejects_path)
+    own = "" if batch_key is None else f"/batch={batch_key}"
+    mode = "append" if batch_key is None else "overwrite"
+    if after or (own and _exists(spark, target_path + own)):
+        write_prices(fresh, target_path + own, mode)
+    if rejects_path and (rejected or (own and _exists(spark, rejects_path + own))):
+        bad.write.mode(mode).parquet(rejects_path + own)
     return {"before": before, "after": after, "rejected": rejected,
             "removed": before - rejected - after}
 
@@ -166,16 +194,113 @@ def retention_cutoff(as_of: str, days: int = 365):
     return F.date_sub(F.lit(as_of).cast("date"), days)
 
 
+def expire_landing(spark: SparkSession, path: str, as_of: str, days: int = 365) -> list[str]:
+    """Drop the run-date folders older than ``days``: only the folder listing
+    is read, nothing that stays is written. Returns the dropped dates."""
+    cutoff = dt.date.fromisoformat(as_of) - dt.timedelta(days=days)
+    gone = {d: f for d, f in partition_folders(spark, path, "run_date").items()
+            if dt.date.fromisoformat(d) < cutoff}
+    for folder in gone.values():
+        fs, p = _folder(spark, folder)
+        if not fs.delete(p, True):
+            raise RuntimeError(f"could not drop {folder}")
+    return sorted(gone)
+
+
 def apply_retention(spark: SparkSession, path: str, out_path: str, as_of: str,
                     days: int = 365) -> DataFrame:
-    """Keep landing partitions younger than ``days`` (partition-pruned read)
-    and write them to ``out_path`` (swap in place of the old folder)."""
+    """A copy of the landing partitions younger than ``days`` (partition-pruned
+    read); ``expire_landing`` drops the others in place."""
     kept = spark.read.schema(LANDING_SCHEMA).json(path).filter(
         F.col("run_date") >= retention_cutoff(as_of, days))
     kept.write.mode("overwrite").partitionBy("run_date", "ticker").json(out_path)
     return read_landing(spark, out_path)
 
 
+# ------------------------------------------------------------------ array files
+
+ARRAY_FILE = r"run_date=([0-9-]+)/file=(.+?)_prices_[0-9]+/[^/]*$"
+
+
+def write_array_landing(prices: DataFrame, path: str) -> None:
+    """Landing files as the API puller leaves them: one JSON array of records
+    (without the ticker) a file, the lower-cased ticker in its name; a year's
+    records at most, so no array grows with the history."""
+    name = F.concat_ws("_", F.lower("ticker"), F.lit("prices"), F.substring("date", 1, 4))
+    records = to_api_records(prices).withColumn("file", name)
+    fields = [c for c in records.columns if c not in ("run_date", "ticker", "file")]
+    arrays = records.groupBy("run_date", "file").agg(
+        F.to_json(F.collect_list(F.struct(*fields))).alias("value"))
+    arrays.write.mode("append").partitionBy("run_date", "file").text(path)
+
+
+def read_array_landing(spark: SparkSession, path: str, ticker=F.upper
+                       ) -> tuple[DataFrame, DataFrame]:
+    """(rows, broken): records of all array files as raw price rows, ticker and
+    run date taken from the file's path (``ticker`` maps the lower-cased name
+    back), and the files that are not JSON, with their text and path."""
+    schema = T.StructType([*API_PRICE_RECORD_SCHEMA.fields,
+                           T.StructField("_broken", T.StringType(), True)])
+    # stored: a query on the broken records alone would not parse the others
+    records = materialize(spark.read.schema(schema).option("multiLine", "true")
+                          .option("recursiveFileLookup", "true")
+                          .option("columnNameOfCorruptRecord", "_broken").json(path)
+                          .withColumn("source_file", F.url_decode(F.col("_metadata.file_path"))),
+                          "landing-records")
+    named = records.filter(F.col("_broken").isNull()).withColumns({
+        # the folder name is escaped once more inside the path
+        "ticker": ticker(F.url_decode(F.regexp_extract("source_file", ARRAY_FILE, 2))),
+        "run_date": F.regexp_extract("source_file", ARRAY_FILE, 1)})
+    rows = normalize_prices(named, ticker="ticker",
+                            ingested_at=F.col("run_date").cast("timestamp"))
+    return rows, records.filter(F.col("_broken").isNotNull()).select("source_file", "_broken")
+
+
+# ------------------------------------------------------------------ compaction
+
+def file_spans(spark: SparkSession, path: str) -> DataFrame:
+    """(year, file, bytes, rows, first_key, last_key) of a price table's files:
+    two columns are read, sizes come from the listing."""
+    df = spark.read.schema(TARGET_SCHEMA).parquet(path)
+    key = F.struct("ticker", "date")
+    return df.groupBy("year", F.col("_metadata.file_path").alias("file")).agg(
+        F.max("_metadata.file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"),
+        F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+
+
+def years_to_compact(spans: DataFrame, target_bytes: int) -> list[int]:
+    """Years whose files are more than twice as many as their bytes need, or
+    whose key ranges overlap."""
+    by_year = Window.partitionBy("year").orderBy("first_key", "last_key")
+    crossing = F.col("first_key") <= F.max("last_key").over(
+        by_year.rowsBetween(Window.unboundedPreceding, -1))
+    per = spans.withColumn("crosses", crossing).groupBy("year").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"),
+        F.max(F.coalesce("crosses", F.lit(False))).alias("crosses"))
+    need = F.ceil(F.col("bytes") / F.lit(target_bytes))
+    return [r.year for r in per.filter(F.col("crosses") | (F.col("files") > 2 * need)).collect()]
+
+
+def compact_prices(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> list[int]:
+    """Rewrite the years that need it into files of about ``target_bytes``
+    with disjoint (ticker, date) ranges; other years keep their files. The new
+    files are stored aside first, then replace the year in one overwrite.
+    Returns the rewritten years."""
+    spans = materialize(file_spans(spark, path), "file-spans")
+    years = years_to_compact(spans, target_bytes)
+    for year in sorted(years):
+        size = spans.filter(F.col("year") == year).agg(F.sum("bytes")).first()[0]
+        rows = spark.read.schema(TARGET_SCHEMA).parquet(path).filter(F.col("year") == year)
+        files = max(1, -(-size // target_bytes))
+        held = materialize(rows.select(*PRICE_COLUMNS, "year")
+                           .repartitionByRange(files, "ticker", "date")
+                           .sortWithinPartitions("ticker", "date"), "compacted")
+        (held.repartitionByRange(files, "ticker", "date").sortWithinPartitions("ticker", "date")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year").parquet(path))
+    return sorted(years)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     from marketlake.session import scratch_path
     return scratch_path(spark, name)

@@ -6,11 +6,10 @@ split off, latest version per (date, ticker), anti-join against the keys already
 in the raw table, year-partitioned append).
 
 * File-level exactly-once comes from the stream checkpoint (shared folder).
-* Replays are harmless: the anti-join drops keys that already landed, so a
-  batch re-run after a failure between write and commit adds nothing.
-* Rows without a date or ticker are set aside in a rejects table (beside the
-  target unless another path is given); a batch that is re-run appends its
-  rejects again.
+* Rows and rejects (rows without a date or ticker; beside the target unless
+  another path is given) are keyed by the stream and the number of the
+  micro-batch. A batch that runs again after a failure between write and commit
+  replaces what its first run left, so both tables end as after one clean run.
 * No watermark: the anti-join is against the target's keys, as in the batch
   loader; state lives in the target table, not in the stream.
 """
@@ -28,7 +27,10 @@ def ingest_batch(target_path: str, rejects_path: str | None = None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         rows = normalize_prices(batch, ticker="ticker",
                                 ingested_at=F.col("run_date").cast("timestamp"))
-        sinks.insert_new(batch.sparkSession, rows, target_path, rejects_path)
+        spark = batch.sparkSession
+        # the id of the stream's checkpoint: a new stream does not replace an older one's batches
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        sinks.insert_new(spark, rows, target_path, rejects_path, f"{stream}-{epoch_id}")
     return handle
 
 
