@@ -103,11 +103,19 @@ def predictions(steps: DataFrame, weekday_eff: DataFrame, holiday_eff: DataFrame
         F.lit(run_date).cast("date").alias("model_run_date"))
 
 
+def significant(x: Column, digits: int) -> Column:
+    """``x`` to so many significant digits: sums of many squares hold no more,
+    whatever the order they were added in."""
+    scale = F.pow(F.lit(10.0), F.ceil(F.log10(F.abs(F.nullif(x, F.lit(0.0))))))
+    return F.coalesce(F.round(x / scale, digits) * scale, x)
+
+
 def evaluation(models: DataFrame) -> DataFrame:
-    """Model quality table (M9/M13): AIC, log-likelihood, variance, rounded."""
+    """Model quality table (M9/M13): AIC, log-likelihood, variance, rounded to
+    the decimals of the report and to ten significant digits."""
     return models.select("ticker", F.round("aic", 2).alias("aic"),
                          F.round("log_likelihood", 2).alias("log_likelihood"),
-                         F.round("sigma2", 4).alias("variance"))
+                         F.round(significant(F.col("sigma2"), 10), 4).alias("variance"))
 
 
 def summary(preds: DataFrame, last_prices: DataFrame) -> DataFrame:

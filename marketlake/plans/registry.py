@@ -195,6 +195,10 @@ register("retention_filter", with_ctes(
 register("load_row_count", with_ctes("SELECT COUNT(*) AS row_count FROM raw", "raw"))(
     rt.load_row_count)
 register("normalize_prices", with_ctes("SELECT * FROM raw", "raw"))(rt.normalize_prices)
+register("normalize_partial_feed", with_ctes(
+    "SELECT date, open, high, low, close, CAST(NULL AS DOUBLE) AS adj_close, "
+    "CAST(NULL AS BIGINT) AS volume, ticker, ingested_at FROM raw", "raw"))(
+    rt.normalize_partial_feed)
 register("union_feeds", with_ctes(
     "SELECT date, open, high, low, close, CAST(NULL AS DOUBLE) AS adj_close, volume, ticker, "
     "ingested_at FROM raw_f UNION ALL SELECT * FROM raw_o", "raw_f", "raw_o"))(rt.union_feeds)

@@ -190,6 +190,14 @@ def normalize_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   ingested_at=F.col("run_date").cast("timestamp"))
 
 
+def normalize_partial_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a feed without adjusted closes and volumes, with a column
+    that nobody asked for: what is missing is NULL, the rest as ever."""
+    rec = sinks.to_api_records(panel.raw_prices(spark, sf_dir)).drop("adjClose", "volume")
+    return files.normalize_prices(rec.withColumn("splitFactor", F.lit("1.0")), ticker="ticker",
+                                  ingested_at=F.col("run_date").cast("timestamp"))
+
+
 def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-batch frames concatenated by name; a feed without ``adj_close``
     gets NULLs there."""

@@ -291,7 +291,8 @@ ORACLE = {
     "forecast_model_select": with_ctes(f"SELECT {REPORT} FROM fc_models", "fc_models"),
     "forecast_evaluate": with_ctes(
         "SELECT ticker, ROUND(aic, 2) AS aic, ROUND(log_likelihood, 2) AS log_likelihood, "
-        "ROUND(sigma2, 4) AS variance FROM fc_models", "fc_models"),
+        "ROUND(ROUND(sigma2 / m, 10) * m, 4) AS variance FROM (SELECT *, "
+        "pow(10.0, ceil(log10(abs(sigma2)))) AS m FROM fc_models)", "fc_models"),
 }
 
 
