@@ -1,12 +1,15 @@
 """Operator 11: alignment of two tokenizers by sparse incidence products.
 
-Each text is encoded twice. The tokens of a block of texts are the rows of two
-0/1 incidence matrices over its bytes, in hand-built CSR; Gustavson's row
-products A * B^T give the overlap links of the token occurrences. A token that
-overlaps nothing before it starts a group, so the products also tell the groups:
-the shortest stretches that both tokenizers end alike. A second product, of
-the id-by-group incidence matrices, gives the shared-group links of each
-text's id pairs with their number, without listing occurrence pairs.
+Texts are cut into parts where both tokenizers end a token whatever stands
+around (before a single space between two words), and each distinct part of a
+block of texts is encoded twice. The tokens are the rows of two 0/1 incidence
+matrices over the parts' bytes, in hand-built CSR; Gustavson's row products
+A * B^T give the overlap links of the tokens. A token that overlaps nothing
+before it starts a group, so the products also tell the groups: the shortest
+stretches that both tokenizers end alike. A second product, of the id-by-group
+incidence matrices, gives the shared-group links of each part's id pairs with
+their number, without listing occurrence pairs; a third, of the texts by parts
+and the parts by pairs, those of each text.
 
 Spark then counts, for each id pair, the texts that hold it: blocks emit their
 distinct pairs with the number of their texts, so what is shuffled is some
@@ -14,7 +17,7 @@ texts' worth of a block's pairs, not all links. Every block asks for the counts
 of its own pairs and of its A ids' best ones and gets them back as one row, and
 the last product, the block's text-by-pair matrix with these counts, gives the
 sums. Blocks hold at most ``BLOCK_ROWS`` texts and, but for one longer text,
-``BLOCK_BYTES`` bytes.
+``BLOCK_BYTES`` characters.
 
 Defined cases: texts that are NULL, empty, or whose joined token bytes differ
 from a space and the text have no tokens (zeros and an empty digest); repeated
@@ -24,10 +27,14 @@ are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
+import re
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +47,9 @@ from marketlake.llm.common import staged
 BLOCK_ROWS = 512
 BLOCK_BYTES = 1 << 20
 PRODUCTS = 1 << 21      # products expanded at a time: bounds memory inside long texts
+# Both tokenizers end a token before a single space between two characters that
+# are no white space, whatever stands around them: texts are cut there.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 # --------------------------------------------------------------- CSR products
@@ -102,9 +112,17 @@ def byte_incidence(ends: np.ndarray) -> CSR:
     return CSR(np.concatenate([[0], ends]), np.arange(n), np.ones(n, np.int64))
 
 
+def weighted(m: CSR, vector: np.ndarray) -> np.ndarray:
+    """The product of a matrix and a vector."""
+    total = np.concatenate([[0], np.cumsum(m.val * vector[m.col])])
+    return total[m.start[1:]] - total[m.start[:-1]]
+
+
 def groups_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Group numbers of two token sequences over the same bytes, from their
     overlap links."""
+    if not len(a_ends):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     a, b = byte_incidence(a_ends), byte_incidence(b_ends)
     low, high = np.zeros(a.rows, np.int64), np.zeros(a.rows, np.int64)
     for first, links in row_products(a, b.transposed(int(a_ends[-1]))):
@@ -127,6 +145,18 @@ def byte_symbols() -> dict[str, int]:
     return out | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class Parts(NamedTuple):
+    """What distinct parts of texts yield, part by part."""
+
+    good: np.ndarray      # whether the bytes of both token sequences are the part's
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    text: list[str]       # the groups, written out
+    links: CSR            # how often id pairs share a group: parts by positions in ``pairs``
+    pairs: np.ndarray     # the distinct id pairs as a * ids of B + b
+
+
 class Pair:
     """The two tokenizers with the bytes of each of their ids."""
 
@@ -151,35 +181,53 @@ class Pair:
         self.b_size = np.array([len(x) for x in self.b_bytes])
         self.a_text = [str(i) for i in range(len(self.a_bytes))]
         self.b_text = [str(i) for i in range(len(self.b_bytes))]
+        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(len(self.b_bytes))):
+            raise ValueError("a piece has a word mark after other characters")
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
-        """Ids of each text; none where the bytes of either differ from it."""
-        some = [i for i, t in enumerate(texts) if t]
-        spaced = [" " + texts[i] for i in some]
-        a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
-        b = self.b.encode([texts[i] for i in some], num_threads=1)
-        out = [([], [])] * len(texts)
-        for i, text, x, y in zip(some, spaced, a, b):
-            data = text.encode()
-            if b"".join(map(self.a_bytes.__getitem__, x)) == data \
-                    and b"".join(map(self.b_bytes.__getitem__, y)) == data:
-                out[i] = (x, y)
-        return out
-
-    def groups_text(self, a: list[int], b: list[int], ga: np.ndarray, gb: np.ndarray) -> str:
-        """`a1,a2|b1;a3|b2,b3`: the ids of each group in order."""
-        n = int(ga[-1]) + 1
+    def written(self, a: list[int], b: list[int], ga: np.ndarray, gb: np.ndarray) -> np.ndarray:
+        """`a1,a2|b1;a3|b2,b3;` as a list: ids and marks of each group in order."""
+        n = int(ga[-1]) + 1 if len(ga) else 0
         before_b = np.searchsorted(gb, np.arange(n))
         after_a = np.searchsorted(ga, np.arange(n), "right")
         out = np.empty(2 * (len(a) + len(b)), object)
         pa_, pb = np.arange(len(a)) + before_b[ga], np.arange(len(b)) + after_a[gb]
         out[2 * pa_] = list(map(self.a_text.__getitem__, a))
         out[2 * pb] = list(map(self.b_text.__getitem__, b))
-        last_a = np.concatenate([ga[1:] != ga[:-1], [True]])
-        last_b = np.concatenate([gb[1:] != gb[:-1], [True]])
+        last_a = np.concatenate([ga[1:] != ga[:-1], [True]])[:len(a)]
+        last_b = np.concatenate([gb[1:] != gb[:-1], [True]])[:len(b)]
         out[2 * pa_ + 1] = np.where(last_a, "|", ",")
         out[2 * pb + 1] = np.where(last_b, ";", ",")
-        return "".join(out[:-1].tolist())
+        return out
+
+    def align(self, parts: list[str]) -> Parts:
+        """Encodes and aligns parts of texts, a space before each."""
+        spaced = [" " + p for p in parts]
+        a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        b = self.b.encode(parts, num_threads=1)
+        data = [p.encode() for p in spaced]
+        good = np.ones(len(parts), bool)
+        for ids, known in ((a, self.a_bytes), (b, self.b_bytes)):
+            made = [b"".join(map(known.__getitem__, x)) for x in ids]
+            if made != data:
+                good &= np.array([x == y for x, y in zip(made, data)])
+        if not good.all():
+            a, b = ([x if ok else [] for x, ok in zip(ids, good)] for ids in (a, b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(parts)) for ids in (a, b))
+        xa, xb = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum())
+                  for ids, n in ((a, n_a), (b, n_b)))
+        del a, b
+        ga, gb = groups_of(np.cumsum(self.a_size[xa]), np.cumsum(self.b_size[xb]))
+        at, pair, links = shared_group_links(xa, ga, np.repeat(np.arange(len(parts)), n_a), xb, gb,
+                                             len(self.b_bytes))
+        pairs, column = np.unique(pair, return_inverse=True)
+        start = np.searchsorted(at, np.arange(len(parts) + 1))
+        closed = np.concatenate([[0], ga + 1])
+        ends_a = np.concatenate([[0], np.cumsum(n_a)])
+        n_groups = closed[ends_a[1:]] - closed[ends_a[:-1]]
+        ends = (2 * (ends_a + np.concatenate([[0], np.cumsum(n_b)]))).tolist()
+        marks = self.written(xa.tolist(), xb.tolist(), ga, gb).tolist()
+        text = ["".join(marks[i:max(i, j - 1)]) for i, j in zip(ends, ends[1:])]
+        return Parts(good, n_a, n_b, n_groups, text, CSR(start, column, links), pairs)
 
 
 @lru_cache(maxsize=2)
@@ -189,54 +237,49 @@ def tokenizer_pair(a_path: str, b_path: str) -> Pair:
 
 # -------------------------------------------------------------------- blocks
 
-def shared_group_links(a_ids: np.ndarray, ga: np.ndarray, a_doc: np.ndarray, b_ids: np.ndarray,
+def shared_group_links(a_ids: np.ndarray, ga: np.ndarray, part: np.ndarray, b_ids: np.ndarray,
                        gb: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, pair, links) of the products of id-by-group incidences; groups
-    are numbered over all texts, a pair is a * ``width`` + b."""
-    groups = int(ga[-1]) + 1
-    key, row = np.unique(a_doc * (int(a_ids.max()) + 1) + a_ids, return_inverse=True)
-    left = CSR.of(row, ga, len(key))
-    right = CSR.of(gb, b_ids, groups)
-    doc, name = key // (int(a_ids.max()) + 1), key % (int(a_ids.max()) + 1)
-    docs, pairs, links = [], [], []
-    for first, part in row_products(left, right):
-        at = first + np.repeat(np.arange(part.rows), np.diff(part.start))
-        docs.append(doc[at])
-        pairs.append(name[at] * width + part.col)
-        links.append(part.val)
-    return np.concatenate(docs), np.concatenate(pairs), np.concatenate(links)
+    """(part, pair, links) of the products of id-by-group incidences; groups
+    are numbered over all parts, a pair is a * ``width`` + b."""
+    if not len(a_ids):
+        return (np.zeros(0, np.int64),) * 3
+    ids = int(a_ids.max()) + 1
+    key, row = np.unique(part * ids + a_ids, return_inverse=True)
+    left, right = CSR.of(row, ga, len(key)), CSR.of(gb, b_ids, int(ga[-1]) + 1)
+    out = []
+    for first, links in row_products(left, right):
+        at = key[first + np.repeat(np.arange(links.rows), np.diff(links.start))]
+        out.append((at // ids, at % ids * width + links.col, links.val))
+    return tuple(np.concatenate(c) for c in zip(*out))
 
 
 def block_row(pair: Pair, block: int, ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
     """One row: the texts' digests, their links by pair, the distinct pairs."""
-    encoded = pair.encode(texts)
-    n_a, n_b = ([len(e[s]) for e in encoded] for s in (0, 1))
-    n_groups, sha = np.zeros(len(texts), np.int64), [""] * len(texts)
-    parts, groups = [], 0
-    for i, (a, b) in enumerate(encoded):
-        if not a:
-            continue
-        xa, xb = np.array(a), np.array(b)
-        ga, gb = groups_of(np.cumsum(pair.a_size[xa]), np.cumsum(pair.b_size[xb]))
-        sha[i] = hashlib.sha256(pair.groups_text(a, b, ga, gb).encode()).hexdigest()
-        n_groups[i] = ga[-1] + 1
-        parts.append((xa, ga + groups, np.full(len(a), i), xb, gb + groups))
-        groups += n_groups[i]
-    doc = key = links = np.zeros(0, np.int64)
-    if parts:
-        doc, key, links = shared_group_links(*(np.concatenate(c) for c in zip(*parts)),
-                                             len(pair.b_bytes))
-    pairs, which = np.unique(key, return_inverse=True)
-    order = np.lexsort((which, doc))
-    start = np.searchsorted(doc[order], np.arange(len(texts) + 1))
+    place: dict[str, int] = {}
+    inside = [[place.setdefault(p, len(place)) for p in CUT.split(t)] if t else [] for t in texts]
+    parts = pair.align(list(place))
+    if not parts.good.all():
+        ok = parts.good.tolist()
+        inside = [x if all(map(ok.__getitem__, x)) else [] for x in inside]
+    size = np.fromiter(map(len, inside), np.int64, len(texts))
+    by_text = CSR.of(np.repeat(np.arange(len(texts)), size),
+                     np.fromiter(chain.from_iterable(inside), np.int64, size.sum()), len(texts))
+    n_a, n_b, n_groups = (weighted(by_text, x) for x in (parts.n_a, parts.n_b, parts.n_groups))
+    sha = [hashlib.sha256(";".join(map(parts.text.__getitem__, x)).encode()).hexdigest()
+           if x else "" for x in inside]
+    got = [(lo + np.repeat(np.arange(m.rows), np.diff(m.start)), m.col, m.val)
+           for lo, m in row_products(by_text, parts.links)]
+    doc, column, links = (np.concatenate(c) for c in zip(*got))
+    used, which = np.unique(column, return_inverse=True)     # not those of texts without tokens
+    start = np.searchsorted(doc, np.arange(len(texts) + 1))
     one = lambda x, t: pa.array([x], pa.list_(t))
     return pa.RecordBatch.from_arrays(
         [pa.array([block], pa.int64()), pa.ListArray.from_arrays(
             pa.array([0, len(ids)], pa.int32()), ids),
          one(n_a, pa.int64()), one(n_b, pa.int64()), one(n_groups, pa.int64()),
-         one(sha, pa.string()), one(start, pa.int32()), one(which[order], pa.int32()),
-         one(links[order], pa.int64()), one(pairs, pa.int64()),
-         one(np.bincount(which, minlength=len(pairs)), pa.int32())],
+         one(sha, pa.string()), one(start, pa.int32()), one(which, pa.int32()),
+         one(links, pa.int64()), one(parts.pairs[used], pa.int64()),
+         one(np.bincount(which, minlength=len(used)), pa.int32())],
         names=["block", "ids", "n_a", "n_b", "n_groups", "sha", "start", "which", "links",
                "pairs", "texts"])
 
@@ -251,16 +294,20 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str
     def run(batches):
         pair, made = tokenizer_pair(a_path, b_path), 0
         base = TaskContext.get().partitionId() << 33      # numbers of this task's blocks
-        for batch in batches:
-            texts = batch.column(text_col).to_pylist()
-            size = np.cumsum([len(t or "") for t in texts])
-            lo = 0
-            while lo < len(texts):
-                gone = size[lo - 1] if lo else 0
-                hi = max(lo + 1, min(lo + BLOCK_ROWS, int(np.searchsorted(
-                    size, gone + BLOCK_BYTES, "right"))))
-                yield block_row(pair, base + made, batch.column(id_col)[lo:hi], texts[lo:hi])
-                made, lo = made + 1, hi
+        gc.disable()              # no cycles here, but millions of small lists to walk
+        try:
+            for batch in batches:
+                texts = batch.column(text_col).to_pylist()
+                size = np.cumsum([len(t or "") for t in texts])
+                lo = 0
+                while lo < len(texts):
+                    gone = size[lo - 1] if lo else 0
+                    hi = max(lo + 1, min(lo + BLOCK_ROWS, int(np.searchsorted(
+                        size, gone + BLOCK_BYTES, "right"))))
+                    yield block_row(pair, base + made, batch.column(id_col)[lo:hi], texts[lo:hi])
+                    made, lo = made + 1, hi
+        finally:
+            gc.enable()
     return staged(docs.select(id_col, text_col).mapInArrow(run, schema), "blocks")
 
 
@@ -283,15 +330,15 @@ def told_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         get = lambda name: batch.column(name)[b].values
         start, which, links = (get(c).to_numpy() for c in ("start", "which", "links"))
         told = batch.column("told")[b]
-        count, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        count = best = np.zeros(0, np.int64)
         if told.is_valid:                                  # in the order of the block's pairs
             key, count, best = (np.asarray(told.values.field(f))
                                 for f in ("pair", "count", "best"))
             order = np.argsort(key)
             count, best = count[order], best[order].astype(np.int64)
-        sums = [np.concatenate([[0], np.cumsum(x)]) for x in
-                (links, links * best[which], links * count[which])]
-        n_links, n_best, total = (s[start[1:]] - s[start[:-1]] for s in sums)
+        matrix = CSR(start, which, links)
+        n_links, n_best, total = (weighted(matrix, x) for x in
+                                  (np.ones(len(count), np.int64), best, count))
         out.append(pa.RecordBatch.from_arrays(
             [get("ids"), get("n_a"), get("n_b"), get("n_groups"), pa.array(n_links),
              pa.array(n_best), pa.array(total), get("sha")],
