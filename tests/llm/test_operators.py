@@ -215,12 +215,35 @@ def brute_hits(text, items):
             bool(hit))
 
 
+def brute_near(texts, items):
+    """Items with a window whose words all stand within 9 words of an
+    occurrence of its rarest word, for each text."""
+    fold = lambda t: re.findall(decontamination.NOT_WORD, (t or "").lower())
+    docs = [fold(t) for t in texts]
+    total = Counter(w for d in docs for w in d)
+    near = [set() for _ in docs]
+    for item, t in items:
+        w = fold(t)
+        for s in range(max(1, len(w) - 9)) if w and item is not None else []:
+            win = w[s:s + 10]
+            rare = min(range(len(win)), key=lambda o: (total[win[o]], o))
+            for found, d in zip(near, docs):
+                for at, x in enumerate(d):
+                    if x == win[rare] and set(win) <= set(d[max(0, at - 9):at + 10]):
+                        found.add(item)
+    return [len(x) for x in near]
+
+
 def test_decontamination_equals_brute_force(spark, docs, corpus, empty, monkeypatch):
     texts = [r[1] for r in corpus]
     items = [(1, " ".join(texts[11].split(" ")[3:20])), (10, texts[12].upper()[:200]), (2, "word"),
-             (2, "word"), (3, ""), (4, None), (None, texts[13]), (5, "not in the corpus at all")]
+             (2, "word"), (3, ""), (4, None), (None, texts[13]), (5, "not in the corpus at all"),
+             (6, " ".join(reversed(texts[14].split(" ")[20:30]))), (7, "x ab ab"), (8, "ab ab"),
+             (9, " ".join(texts[15].split(" ")[50:57:2])), (11, "c a")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    want = [(r[0], *brute_hits(r[1], items)) for r in corpus]
+    near = brute_near(texts, items)
+    want = [(r[0], *brute_hits(r[1], items), n) for r, n in zip(corpus, near)]
+    assert any(w[-1] > w[3] for w in want)                # near, but no phrase
     same(decontamination.contamination(docs, bench).collect(), want)
     monkeypatch.setattr(decontamination, "BLOCK", 7)      # several blocks of windows
     same(decontamination.contamination(docs, bench).collect(), want)
