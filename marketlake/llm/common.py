@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.session import scratch_path
 from marketlake.sources.tables import read_table
@@ -52,18 +53,35 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_uid(docs: DataFrame) -> DataFrame:
-    """``docs`` written with a number of each row (column ``_uid``)."""
-    return staged(docs.withColumn("_uid", F.monotonically_increasing_id()), "rows")
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores in front until no column has that name."""
+    taken = {c.lower() for c in docs.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
 
 
-SMALL_ROWS = 2_000_000   # rows of ids (some 16 bytes each) that may be broadcast
+def with_uid(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number of each row, and that column's name."""
+    uid = free_name(docs, "_uid")
+    return staged(docs.withColumn(uid, F.monotonically_increasing_id()), "rows"), uid
 
 
-def sized(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A stored table marked for broadcast if it has at most ``rows`` rows
-    (counted from its footers); a larger one is joined by shuffling."""
-    return F.broadcast(table) if table.count() <= rows else table
+SMALL_BYTES = 32 << 20   # values of a table that may be broadcast
+
+
+def sized(table: DataFrame, most: int = SMALL_BYTES) -> DataFrame:
+    """A stored table marked for broadcast if its values take at most ``most``
+    bytes: 8 for each number, the measured length of each text. A larger one
+    is joined by shuffling."""
+    wide = [f.name for f in table.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    leaves = sum(len(f.dataType.fields) if isinstance(f.dataType, T.StructType) else 1
+                 for f in table.schema.fields)
+    size = F.count(F.lit(1)) * 8 * leaves
+    for name in wide:
+        size = size + F.coalesce(F.sum(F.octet_length(name)), F.lit(0))
+    return F.broadcast(table) if table.agg(size).first()[0] <= most else table
 
 
 def fold(doc_id: str, parts: int) -> Column:

@@ -149,17 +149,22 @@ def enough(n1, p1, n2, p2, percent: int):
             & ((100 + percent) * most >= percent * (n1 + n2)))
 
 
+def turn(set_id: str):
+    """The order of a pair's two sets: centres of lists come first, so that a
+    centre's partners share its groups and it is not sent once for each."""
+    return F.struct(F.xxhash64(set_id).alias("h"), F.col(set_id).alias("set_id"))
+
+
 def star_pairs(post: DataFrame, percent: int) -> DataFrame:
-    """Each list member with its list's centre in the same band of sizes.
-    Lists grow with the corpus, so their joins shuffle alike at every size."""
+    """(a, b): each list's centre, the first of ``turn``, in a band of sizes with
+    a member. Lists grow with the corpus, so their joins shuffle alike at every size."""
     centre = post.groupBy("shingle", "band").agg(
         F.min(F.struct(F.xxhash64("set_id").alias("h"), "set_id", "n", "pos")).alias("c"),
         F.count(F.lit(1)).alias("k")).filter("k > 1")
     return (post.join(centre.hint("merge"), ["shingle", "band"])
             .filter((F.col("set_id") != F.col("c.set_id"))
                     & enough(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), percent))
-            .select(F.least("set_id", "c.set_id").alias("a"),
-                    F.greatest("set_id", "c.set_id").alias("b")).distinct())
+            .select(F.col("c.set_id").alias("a"), F.col("set_id").alias("b")).distinct())
 
 
 def mixed_lists(post: DataFrame, found: DataFrame) -> DataFrame:
@@ -184,9 +189,9 @@ def short_list_pairs(known: DataFrame, percent: int) -> DataFrame:
         & (F.col("c1") != F.col("c2")) \
         & ((F.col("band2") > F.col("band")) | (F.col("set_id1") < F.col("set_id2"))) \
         & enough(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent)
+    ends = [turn("set_id1"), turn("set_id2")]
     return left.join(right.hint("merge"), pair).select(
-        F.least("set_id1", "set_id2").alias("a"),
-        F.greatest("set_id1", "set_id2").alias("b")).distinct()
+        F.least(*ends)["set_id"].alias("a"), F.greatest(*ends)["set_id"].alias("b")).distinct()
 
 
 def long_list_groups(known: DataFrame) -> DataFrame:
@@ -291,15 +296,18 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarr
 
 
 def verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int, words: int,
-             id_col: str, text_col: str) -> DataFrame:
+             id_col: str, text_col: str, repeats: bool = False) -> DataFrame:
     """(a, b): links between the two sides of each group (inside a group of
     one side), as pairs that connect what is linked. One text of each needed
-    set is read again; sets are shuffled once, to their groups."""
+    set is read again (``repeats``: rows of one id and text stand in ``docs`` more
+    than once); sets are shuffled once, to their groups."""
     groups = staged(groups, "groups")
     one = sized(staged(nodes.join(groups.select("set_id").distinct(), "set_id").select(
         "set_id", F.col("text_key").alias("_key"), F.col("first_id").alias("_id")), "needed"))
     texts = docs.select(id_col, text_col, F.xxhash64(text_col).alias("text_key")).join(
         one, (F.col("text_key") == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    if repeats:
+        texts = texts.dropDuplicates(["set_id"])
 
     def make():
         shingler = Shingler(words)
@@ -341,9 +349,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS,
         .select("set_id", "least", "first.*"), "nodes")
     firsts = rows.join(nodes.select("row"), "row")
     post = staged(postings(firsts, percent), "postings")
+    repeats = not rows.groupBy("set_id", "text_key", "doc_id").agg(
+        F.count(F.lit(1)).alias("k")).filter("k > 1").isEmpty()
 
     def links(groups: DataFrame) -> DataFrame:
-        return verified(docs, nodes, groups, percent, words, id_col, text_col)
+        return verified(docs, nodes, groups, percent, words, id_col, text_col, repeats)
 
     tried = staged(star_pairs(post, percent), "stars")
     first = links(pair_groups(plausible(tried, firsts, percent)))
@@ -363,31 +373,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS,
         .alias("component_id"))
 
 
-def keep_one_each(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id is not the smallest of its class;
-    rows with a NULL id stay, repeated rows of the kept id stay together."""
-    gone = staged(near_duplicates(docs, percent, id_col=id_col, text_col=text_col)
-                  .filter(F.col("doc_id") != F.col("component_id"))
-                  .select(F.col("doc_id").alias("_gone")).distinct(), "removed")
-    return docs.join(sized(gone), F.col(id_col) == F.col("_gone"), "left_anti")
-
-
 def keep_one_row_each(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class of rows: the one with the smallest
     id (NULL last), of several with that id the first stored."""
-    rows = with_uid(docs)
-    told = near_duplicates(rows, percent, id_col="_uid", text_col=text_col).select(
+    rows, uid = with_uid(docs)
+    told = near_duplicates(rows, percent, id_col=uid, text_col=text_col).select(
         F.col("doc_id").alias("_uid"), F.col("component_id").alias("_class"))
-    known = staged(told.join(rows.select("_uid", F.col(id_col).alias("_id")), "_uid"), "classes")
+    known = staged(told.join(rows.select(F.col(uid).alias("_uid"), F.col(id_col).alias("_id")),
+                             "_uid"), "classes")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_uid"))
     kept = staged(known.groupBy("_class").agg(first["_uid"].alias("_kept"),
                                               F.count(F.lit(1)).alias("n"))
                   .filter(F.col("n") > 1).drop("n"), "kept")
     gone = staged(known.join(sized(kept), "_class").filter(F.col("_uid") != F.col("_kept"))
-                  .select("_uid"), "removed")
-    return rows.join(sized(gone), "_uid", "left_anti").select(*docs.columns)
+                  .select(F.col("_uid").alias(uid)), "removed")
+    return rows.join(sized(gone), uid, "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""

@@ -35,10 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.byte_ranks import Ranks, doubled, occurrences, window_minima
-from marketlake.llm.common import map_batches, sized, staged, texts_of
-
-LISTED_RUNS = 2_000_000   # runs in lists (some 16 bytes each) that may be broadcast
-
+from marketlake.llm.common import SMALL_BYTES, map_batches, sized, staged, texts_of
 
 def _long(x) -> pa.Array:
     return pa.array(np.asarray(x).astype(np.uint64).view(np.int64))
@@ -130,7 +127,10 @@ def with_lists(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str,
                how: str = "inner") -> DataFrame:
     lists = staged(lists.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
                                 "runs"), "run-lists")
-    if (lists.agg(F.sum(F.size("runs"))).first()[0] or 0) <= LISTED_RUNS:
+    # 16 bytes a run, and its keys
+    size = lists.agg(F.sum(16 * F.size("runs") + 16 + F.coalesce(
+        F.octet_length(F.col("_id").cast("string")), F.lit(0)))).first()[0] or 0
+    if size <= SMALL_BYTES:
         lists = F.broadcast(lists)
     same: Column = F.col(id_col).eqNullSafe(F.col("_id")) \
         & F.col("text_key").eqNullSafe(F.col("_key"))
@@ -211,8 +211,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
     if length % 2:
         raise ValueError("length must be even")
     id_type = docs.schema[id_col].dataType.simpleString()
+    # a set: repeated rows have the same runs, whatever their number
     lists = joined_runs(covered(docs, length, id_col, text_col).groupBy(
-        "doc_id", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
+        "doc_id", "text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))
 
     def make():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:

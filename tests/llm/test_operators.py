@@ -192,10 +192,8 @@ def test_jaccard_join_equals_brute_force(docs, corpus, empty, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 2)
     same(jaccard_join.near_duplicates(docs).collect(), want)
     assert jaccard_join.near_duplicates(empty).count() == 0
-    kept = jaccard_join.keep_one_each(docs)
-    gone = {r[0] for r in want if r[0] is not None and r[0] != r[2]}
-    assert kept.columns == docs.columns
-    assert kept.count() == sum(r[0] not in gone for r in corpus)
+    heads = Counter((r[0] if r[2] is None else r[2]) for r in want if r[1])
+    assert jaccard_join.keep_one_row_each(docs).count() == len(heads) + sum(not r[1] for r in want)
 
 
 def brute_hits(text, items):
@@ -463,3 +461,62 @@ def test_parity_maps_never_differ_more_than_the_sets():
         apart = len(np.setxor1d(a, b))
         assert jaccard_join.differences(jaccard_join.parity(a), jaccard_join.parity(b)) <= apart
         assert jaccard_join.differences(jaccard_join.parity(a), jaccard_join.parity(a)) == 0
+
+
+def test_pipeline_passes_columns_named_like_helpers(spark):
+    import corpus_pipeline
+    names = ["_uid", "__uid", "_language", "_certain", "text_key", "doc", "Set_ID", "_id", "_class",
+             "tid", "runs", "row"]
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} "), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = common.staged(stage(spark, docs, SMOKE), name)
+        assert out.columns == docs.columns and out.count() > 0.8 * docs.count()
+        for c in names:
+            assert out.filter(F.col(c) != F.concat(F.lit(f"{c} "), F.col("doc_id"))).isEmpty()
+        docs = out
+    assert corpus_pipeline.pack(spark, docs, SMOKE).select("doc_id").distinct().count() \
+        == docs.count()
+
+
+def test_free_names_and_measured_broadcasts(spark):
+    docs = spark.createDataFrame([(1, "x" * 1000)] * 10, "_UID long, __uid string")
+    assert common.free_name(docs, "_uid") == "___uid"
+    is_broadcast = lambda t: "ResolvedHint" in t._jdf.queryExecution().analyzed().toString()
+    assert is_broadcast(common.sized(docs, 10 * 1016))
+    assert not is_broadcast(common.sized(docs, 10 * 1016 - 1))     # width counts, not rows
+    assert is_broadcast(common.sized(docs.select("_UID"), 80))
+    assert is_broadcast(common.sized(docs.limit(0), 0))
+
+
+def test_centres_are_sent_once_a_group_not_once_a_partner(spark):
+    post = spark.createDataFrame([(s, i, 100, 0, 3) for s in (1, 2) for i in range(1000)],
+                                 "shingle long, set_id long, n int, pos int, band int")
+    pairs = jaccard_join.star_pairs(post, 80)
+    rows = pairs.collect()
+    assert len(rows) == 999 and len({r.a for r in rows}) == 1
+    groups = jaccard_join.pair_groups(pairs)
+    most = groups.groupBy("set_id").count().agg(F.max("count")).first()[0]
+    assert most <= -(-999 // jaccard_join.BLOCK)
+
+
+def test_repeated_rows_without_id_stay_bounded(spark, monkeypatch):
+    common.tune(spark)
+    rng = random.Random(5)
+    text = " ".join(f"{rng.random():.6f}" for _ in range(90))
+    rows = [(None, text)] * 300 + [(1, "a " + text), (2, text[:300])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen = []
+    joined = suffix_dedup.joined_runs
+
+    def watched(lists):
+        seen.append(lists.agg(F.max(F.size("runs"))).first()[0])
+        return joined(lists)
+
+    monkeypatch.setattr(suffix_dedup, "joined_runs", watched)
+    got = suffix_dedup.remove_repeats(docs).collect()
+    same(got, [(r[0], *x) for r, x in zip(rows, brute_repeats([t for _, t in rows], 400))])
+    assert seen[0] < 300
+    near = jaccard_join.near_duplicates(docs).collect()
+    same(near, brute_classes(rows))
