@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
 returns the columns of ``docs``; the last returns packed pieces. Stages drop
 rows for their own text, whatever their id: NULL or repeated ids are rows like
-others. ``run`` applies the stages to ``documents``.
+others. Other columns pass through unchanged whatever their names; helper
+columns take names that are free. ``run`` applies the stages to ``documents``.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import decontamination, jaccard_join, language_id, packing, secret_scan
-from marketlake.llm.common import sized, staged, tune, with_uid
+from marketlake.llm.common import free_name, sized, staged, tune, with_uid
 from marketlake.sources.tables import read_table
 
 MIN_LANGUAGE_SCORE = 0.4
@@ -25,10 +26,11 @@ MASK = "[secret]"
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: texts without a letter or without a clear language go."""
     tune(spark)
-    told = language_id.predictions(docs, language_id.train(docs),
-                                   names=("_language", "_certain"), keep=True)
-    return told.filter((F.col("_language") != language_id.UNKNOWN)
-                       & (F.col("_certain") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    name, certain = free_name(docs, "_language"), free_name(docs, "_certain")
+    told = language_id.predictions(docs, language_id.train(docs), names=(name, certain),
+                                   keep=True)
+    return told.filter((F.col(name) != language_id.UNKNOWN)
+                       & (F.col(certain) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,11 +42,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: rows that hold a benchmark passage go."""
     benchmark = read_table(tune(spark), sf_dir, "benchmark")
-    rows = with_uid(docs)
-    told = decontamination.contamination(rows, benchmark, id_col="_uid")
-    gone = staged(told.filter("contaminated").select(F.col("doc_id").alias("_uid")),
+    rows, uid = with_uid(docs)
+    told = decontamination.contamination(rows, benchmark, id_col=uid)
+    gone = staged(told.filter("contaminated").select(F.col("doc_id").alias(uid)),
                   "contaminated")
-    return rows.join(sized(gone), "_uid", "left_anti").select(*docs.columns)
+    return rows.join(sized(gone), uid, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
