@@ -98,10 +98,14 @@ def map_batches(df: DataFrame, make: Callable[[], Callable], schema: str) -> Dat
     """``make()`` runs once per task and returns the batch function."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            out = fn(batch)
-            if out is not None and out.num_rows:
-                yield out
+        try:
+            for batch in batches:
+                out = fn(batch)
+                if out is not None and out.num_rows:
+                    yield out
+        finally:       # workers live on: what a task freed goes back to the machine
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 
