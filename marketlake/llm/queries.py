@@ -96,7 +96,9 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op2_nn_descent"] = nn_descent.ORACLE
+ORACLE["op5_secret_scan"] = secret_scan.ORACLE
 ORACLE["op6_decontamination"] = decontamination.ORACLE
 ORACLE["op7_jaccard_join"] = jaccard_join.ORACLE
+ORACLE["op8_suffix_dedup"] = suffix_dedup.ORACLE
 ORACLE["op12_exact_topk"] = exact_topk.ORACLE
 ORACLE["op13_spelling_variants"] = spelling_variants.ORACLE

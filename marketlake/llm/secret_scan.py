@@ -283,3 +283,54 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str =
         return run
 
     return map_batches(docs, make, schema)
+
+
+# Plain regular expressions over whole texts: matches are set off by two
+# control characters (those of the text itself give way first), so that the
+# lengths of the parts before them are their places. Letters of either case
+# are spelled out, since the engine's own folding goes beyond A-Z.
+ORACLE = r"""
+WITH rules(i, kind, pat, least_chars) AS (VALUES
+    (0, 'assign', '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+    (1, 'access', 'AKIA[A-Z0-9]+', 20),
+    (2, 'hex', '[0-9a-f]+', 24),
+    (3, 'private_key', '-----BEGIN (?:RSA |EC |DSA |OPENSSH )?PRIVATE KEY-----', 0),
+    (4, 'github', 'gh[pousr]_[A-Za-z0-9]+', 40),
+    (5, 'slack', 'xox[abprs]-[A-Za-z0-9-]+', 15),
+    (6, 'google', 'AIza[A-Za-z0-9_-]+', 39),
+    (7, 'jwt', 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+', 0),
+    (8, 'stripe', '[sr]k_live_[A-Za-z0-9]+', 24)),
+texts AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) AS t
+    FROM documents),
+split AS (
+    SELECT r, i, kind, pat, least_chars,
+           string_split(regexp_replace(t, '(' || pat || ')', chr(1) || '\1' || chr(2), 'g'),
+                        chr(1)) AS parts
+    FROM texts CROSS JOIN rules),
+pieces AS (
+    SELECT * EXCLUDE (parts), unnest(parts) AS part, generate_subscripts(parts, 1) AS j
+    FROM split),
+placed AS (
+    SELECT *, split_part(part, chr(2), 1) AS found,
+           sum(length(replace(part, chr(2), ''))) OVER (PARTITION BY r, i ORDER BY j)
+               - length(replace(part, chr(2), '')) AS s
+    FROM pieces),
+spans AS (
+    SELECT r, i, kind, s, kind || ':' || CAST(s AS BIGINT) || ':'
+               || CAST(s + length(found) AS BIGINT) AS told
+    FROM placed
+    WHERE j > 1 AND length(CASE kind WHEN 'assign' THEN regexp_extract(found, pat, 2)
+                           ELSE found END) >= least_chars),
+sums AS (
+    SELECT r, count(*) FILTER (i = 0) AS n_assign, count(*) FILTER (i = 1) AS n_access,
+           count(*) FILTER (i = 2) AS n_hex,
+           string_agg(told, ',' ORDER BY s, i) FILTER (i < 3) AS base,
+           string_agg(told, ',' ORDER BY s, i) AS spans
+    FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM texts LEFT JOIN sums USING (r)
+"""

@@ -240,3 +240,38 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
     texts = with_lists(docs, lists, id_col, text_col, "left").select(id_col, text_col, "runs")
     return map_batches(texts, make, f"doc_id {id_type}, n_bytes bigint, n_removed bigint, "
                                     "n_spans bigint, kept_sha256 string")
+
+
+# Every 400-byte string of every row, found block by block as hexadecimal text.
+ORACLE = """
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h
+    FROM documents),
+blocks AS (
+    SELECT r, b, substr(h, 800 * b + 1, 1600) AS part
+    FROM (SELECT r, h, unnest(range(0, length(h) // 800 + 1)) AS b FROM texts)),
+strings AS (
+    SELECT r, 400 * b + i AS p, md5(substr(part, 2 * i + 1, 800)) AS k
+    FROM (SELECT r, b, part, unnest(range(0, least(400, greatest(0, length(part) // 2 - 399)))) AS i
+          FROM blocks)),
+repeated AS (SELECT k FROM strings GROUP BY k HAVING count(*) > 1),
+starts AS (SELECT r, p FROM strings SEMI JOIN repeated USING (k)),
+marked AS (
+    SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 400
+                      THEN 0 ELSE 1 END AS opens
+    FROM starts),
+numbered AS (SELECT r, p, sum(opens) OVER (PARTITION BY r ORDER BY p) AS span FROM marked),
+spans AS (SELECT r, span, min(p) AS lo, max(p) + 400 AS hi FROM numbered GROUP BY r, span),
+edges AS (
+    SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS since
+    FROM spans),
+kept AS (
+    SELECT r, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(hi) AS last,
+           string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS before
+    FROM edges JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
