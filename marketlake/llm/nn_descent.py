@@ -1,26 +1,27 @@
 """Operator 2: embedding near-duplicates by NN-descent.
 
 Equal vectors of a label are one node. Every node keeps a list of its ``k``
-nearest known neighbours. In a part (label and size) of up to WHOLE nodes all
-pairs are compared. In a larger one, lists start from hyperplane buckets
-(several tables of sign bits, as many as the part's own rows ask for, cut into
-chunks of bounded size) and from random chunks of the part, so that a node
-alone in its buckets has neighbours to walk from. Then each round joins
-neighbours of neighbours: around every node, its list and the nodes that list
-it are compared with each other where one of the two entries is new, and
-better neighbours replace worse ones. Rounds end when few lists change. Recall
-is audited against brute force: slices of nodes are compared with all rows
-until they hold enough true links to tell the target from less, or all nodes
-are compared. Below the target, the lists are enlarged and more tables and
-rounds follow; if they do not reach it either, all nodes whose lists are not
-saturated are compared with all rows. What the audit finds is kept.
-
-A list is saturated when all its k entries reach the threshold. Saturated
-lists are enlarged to completeness: saturated nodes are cut into blocks (by
-their component, so near neighbours share blocks), and each pair of blocks
-whose angular balls come within the threshold is compared once. A group of
-thousands of near copies thus costs block products and per-node counts, never
-a row for each pair.
+nearest known neighbours. In each part (label and size), lists start from
+hyperplane buckets (several tables of sign bits, as many as the part's own rows
+ask for, cut into chunks of bounded size) and from random chunks of the part,
+so that a node alone in its buckets has neighbours to walk from. Then each
+round joins neighbours of neighbours: around every node, its list and the nodes
+that list it are compared with each other where one of the two entries is new,
+and better neighbours replace worse ones. Rounds end when few lists change.
+Recall is audited against brute force on a bounded sample: below the target,
+the lists are enlarged and more tables and rounds follow. The audit sets the
+effort only.
+
+A list is saturated when all its k entries reach the threshold. An exact check
+follows at every size of the input: all nodes whose lists are not saturated are
+compared with all nodes of their part, block by block, and what the lists miss
+is added. Saturated lists are enlarged to completeness: saturated nodes are cut
+into blocks (by their component, so near neighbours share blocks), and each
+pair of blocks whose angular balls come within the threshold is compared once.
+A group of thousands of near copies thus costs block products and per-node
+counts, never a row for each pair. The links of every node are so the true
+ones, whatever the lists held; the exact check's products grow with the square
+of a part.
 
 Cosine is computed in double precision. Defined cases: vectors that are NULL,
 empty, zero or hold NULL or non-finite components, rows with a NULL label and
@@ -41,10 +42,10 @@ from marketlake.llm.common import map_batches, sized, staged
 from marketlake.llm.components import components, spanning
 
 CHUNK = 256          # nodes compared with each other when lists start
-WHOLE = 1024         # nodes of a part whose pairs are all compared
 BLOCK = 512          # nodes of a block of saturated lists
-SLICE = 8192         # nodes compared with all rows in one pass of the audit
-ENOUGH = 1000        # true links that tell the recall target from less
+SLICE = 8192         # nodes that the audit compares with all rows
+CELL = 4096          # nodes of a side of the exact check's cells
+STEP = 512           # nodes whose products a cell holds at a time
 PIVOTS = 1500        # nodes whose neighbourhoods one task group compares
 
 
@@ -127,15 +128,6 @@ def _nearest(t: pa.Table, k: int) -> pa.Table:
     return pa.table({"u": ids[u], "v": ids[at.reshape(-1)], "s": s[u, at.reshape(-1)]})
 
 
-def whole_lists(nodes: DataFrame, k: int) -> DataFrame:
-    """(u, v, s): the k nearest neighbours of each node, for small parts."""
-    def compare(t: pa.Table) -> pa.Table:
-        return _nearest(t, k)
-
-    return staged(nodes.select("part", "node", "embedding").groupBy("part").applyInArrow(
-        compare, "u bigint, v bigint, s double"), "whole-lists")
-
-
 def first_lists(nodes: DataFrame, k: int, tables: int, bits: int, seed: int) -> DataFrame:
     """(u, v, s): the k best neighbours of each node within its chunks."""
     def compare(t: pa.Table) -> pa.Table:
@@ -259,31 +251,55 @@ def links_of(nodes: DataFrame, some: DataFrame, threshold: float, k: int) -> Dat
                               "u bigint, v bigint"), "true-links")
 
 
-def audit(nodes: DataFrame, lists: DataFrame, threshold: float, k: int, recall: float,
-          last: bool) -> tuple[bool, DataFrame | None]:
-    """(whether the lists hold the share ``recall`` of the true links, the true
-    links (u, v) found). Nodes whose lists are not saturated (the others are
-    completed afterwards) are compared with all rows, slice by slice, until
-    ENOUGH true links are known; a sample without links tells nothing. If the
-    share is missed and the attempt is the ``last``, the other slices follow.
-    After all slices every link of these nodes is known."""
+def audit(nodes: DataFrame, lists: DataFrame, threshold: float, k: int, recall: float) -> bool:
+    """Whether the lists hold the share ``recall`` of the true links of a
+    sample of about SLICE nodes whose lists are not saturated."""
     open_ = staged(nodes.select("node", "part", "embedding").join(
         saturated(lists, threshold, k), "node", "left_anti"), "open")
-    slices = math.ceil(open_.count() / SLICE)
-    slot = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(slices))
+    slices = max(1, math.ceil(open_.count() / SLICE))
+    sample = open_.filter(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(slices)) == 0)
     held = lists.filter(F.col("s") >= threshold).select("u", "v", F.lit(1).alias("held"))
-    found, known, hits, reached = None, 0, 0, True
-    for i in range(slices):
-        links = links_of(nodes, open_.filter(slot == i), threshold, k)
-        found = links if found is None else found.union(links)
-        if known >= ENOUGH:
-            continue
-        row = links.join(held, ["u", "v"], "left").agg(F.count(F.lit(1)), F.count("held")).first()
-        known, hits = known + row[0], hits + row[1]
-        reached = hits >= recall * known
-        if known >= ENOUGH and i + 1 < slices and (reached or not last):
-            return reached, found
-    return True, found
+    known, hits = links_of(nodes, sample, threshold, k).join(held, ["u", "v"], "left").agg(
+        F.count(F.lit(1)), F.count("held")).first()
+    return hits >= recall * known
+
+
+def checked(nodes: DataFrame, lists: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(u, v): all links of the nodes whose lists are not saturated. Nodes are
+    dealt to blocks within their part, and each pair of blocks is a cell whose
+    nodes are compared. Of a node with more than k links in a cell, the k best:
+    it is saturated."""
+    full = saturated(lists, threshold, k).withColumn("full", F.lit(True))
+    sizes = nodes.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("blocks"))
+    dealt = (nodes.join(full, "node", "left").join(sizes, "part")
+             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    sent = dealt.select("part", F.least("block", "other").alias("low"),
+                        F.greatest("block", "other").alias("high"), "block", "node",
+                        F.col("full").isNull().alias("open"), "embedding")
+
+    def compare(t: pa.Table) -> pa.Table:
+        low, high = t["low"][0].as_py(), t["high"][0].as_py()
+        ids, x, block = t["node"].to_numpy(), matrix(t["embedding"]), t["block"].to_numpy()
+        open_ = t["open"].to_numpy(zero_copy_only=False).astype(bool)
+        a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        out = [pa.table({"u": ids[:0], "v": ids[:0], "s": np.zeros(0)})]
+        for lo in range(0, len(a), STEP):
+            some = a[lo:lo + STEP]
+            c = x[some] @ x[b].T
+            if low == high:
+                c[ids[some][:, None] == ids[b][None]] = -2
+            i, j = np.nonzero((c >= threshold) & (open_[some][:, None] | open_[b][None]))
+            u, v, s = some[i], b[j], c[i, j]
+            if low != high:                # the other side's view
+                u, v, s = np.concatenate([u, v]), np.concatenate([v, u]), np.tile(s, 2)
+            own = open_[u]
+            out.append(_best(ids[u[own]], ids[v[own]], s[own], k))
+        t = pa.concat_tables(out)
+        return _best(*(t[c].to_numpy() for c in ("u", "v", "s")), k).select(["u", "v"])
+
+    return staged(sent.groupBy("part", "low", "high").applyInArrow(
+        compare, "u bigint, v bigint"), "checked")
 
 
 # -------------------------------------------------------- saturated lists
@@ -293,12 +309,11 @@ def saturated(lists: DataFrame, threshold: float, k: int) -> DataFrame:
             .filter((F.col("n") >= k) & (F.col("s") >= threshold)).select(F.col("u").alias("node")))
 
 
-def linked(lists: DataFrame, found: DataFrame | None, threshold: float,
+def linked(lists: DataFrame, found: DataFrame, threshold: float,
            k: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b): the links of the lists and of the audit; (node): the nodes with
+    """(a, b): the links of the lists and of the check; (node): the nodes with
     k links or more, whose links among each other are counted in blocks."""
-    links = lists.filter(F.col("s") >= threshold).select("u", "v")
-    links = links if found is None else links.union(found)
+    links = lists.filter(F.col("s") >= threshold).select("u", "v").union(found)
     near = staged(links.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
                   .distinct(), "near")
     full = staged(near.select(F.col("a").alias("node")).union(near.select("b"))
@@ -381,8 +396,8 @@ def complete(nodes: DataFrame, full: DataFrame, groups: DataFrame,
 
 def walk(nodes: DataFrame, n: int, bits: int, threshold: float, k: int, tables: int, rounds: int,
          settle: float, recall: float, attempts: int) -> tuple[DataFrame, DataFrame]:
-    """What ``linked`` gives, for the n nodes of large parts."""
-    lists = found = None
+    """What ``linked`` gives, for the n nodes."""
+    lists = None
     for attempt in range(attempts):
         start = first_lists(nodes, k, tables, bits, seed=11 + attempt).withColumn(
             "new", F.lit(True))
@@ -390,13 +405,10 @@ def walk(nodes: DataFrame, n: int, bits: int, threshold: float, k: int, tables:
             start = start.unionByName(lists.withColumn("new", F.lit(True)))
         lists = staged(trimmed(start, k), "neighbours")
         lists = descend(nodes, lists, k, n, rounds, settle)
-        reached, more = audit(nodes, lists, threshold, k, recall, attempt + 1 == attempts)
-        found = found.union(more) if found is not None and more is not None else (
-            more if found is None else found)
-        if reached:
+        if attempt + 1 == attempts or audit(nodes, lists, threshold, k, recall):
             break
         k, tables = 2 * k, 2 * tables
-    return linked(lists, found, threshold, k)
+    return linked(lists, checked(nodes, lists, threshold, k), threshold, k)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 8, tables: int = 6,
@@ -407,15 +419,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, k: int = 8, tab
     sound = valid(vectors.select("vec_id", "embedding", "label"))
     nodes = staged(nodes_of(sound), "nodes")
     parts = staged(nodes.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-                   .filter(F.col("n") > WHOLE).withColumn("bits", F.ceil(F.log2(
-                       F.col("n") / (CHUNK / 2))).cast("int")), "large-parts")
-    n, bits = parts.agg(F.sum("n"), F.max("bits")).first()
-    small = nodes.join(sized(parts), "part", "left_anti")
-    near, full = linked(whole_lists(small, k), None, threshold, k)
-    if n:
-        large = staged(nodes.join(sized(parts), "part").drop("n"), "large")
-        more, walked = walk(large, n, bits, threshold, k, tables, rounds, settle, recall, attempts)
-        near, full = near.union(more), full.union(walked)
+                   .withColumn("bits", F.greatest(F.lit(0), F.ceil(F.log2(
+                       F.col("n") / (CHUNK / 2)))).cast("int")), "parts")
+    n, bits = parts.agg(F.coalesce(F.sum("n"), F.lit(0)),
+                        F.coalesce(F.max("bits"), F.lit(0))).first()
+    dealt = staged(nodes.join(sized(parts), "part").drop("n"), "part-bits")
+    near, full = walk(dealt, n, bits, threshold, k, tables, rounds, settle, recall, attempts)
     counts, links = complete(nodes, full, components(near), threshold)
     # pairs of two saturated nodes are counted by the blocks
     mark = full.select("node", F.lit(1).alias("full"))
