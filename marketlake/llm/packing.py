@@ -24,14 +24,13 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import BoundedCache, map_batches, staged, texts_of
+from marketlake.llm.common import BoundedCache, kept, map_batches, staged, texts_of
 
 BUCKET_ROWS = 20_000   # ranking window size
 GRID = 16              # first lengths of the enumerated triples
@@ -49,9 +48,10 @@ class WordIds:
     never span spaces or line feeds: each distinct stretch between them is
     encoded once. A plain word goes straight to the file's BPE model (its
     normalisation is lower case, its split the word itself); every other
-    stretch goes through the whole tokenizer."""
+    stretch goes through the whole tokenizer. Words and stretches share one
+    cache: a plain word is its own stretch."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
         self.tok = Tokenizer.from_file(path)
@@ -59,7 +59,6 @@ class WordIds:
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {x: byte_level.pre_tokenize_str(chr(x))[0][0]
                         for x in range(0xDF, 0x100)}
-        self.words = BoundedCache(self._word, limit)
         self.cache = BoundedCache(self._stretch, limit)
 
     def _word(self, word: str) -> bytes:
@@ -76,16 +75,18 @@ class WordIds:
         low = core.lower()
         if not PLAIN(low):
             return self._word(text)
+        if low == text:
+            return self._word(text)
         if core == text:
-            return self.words[low]
-        return self.words[low] + self.words[text[len(core):]]
+            return self.cache[low]
+        return self.cache[low] + self.cache[text[len(core):]]
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         return b"".join(map(self.cache.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-@lru_cache(maxsize=2)
+@kept
 def word_ids(path: str) -> WordIds:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

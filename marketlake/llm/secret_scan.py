@@ -4,8 +4,8 @@ Each rule is a regular expression with a Boolean trigram query derived from
 it: an AND of ORs of ANDs of lower-cased trigrams that every match must hold
 (``trigram_query`` walks the parsed expression). Texts are indexed in blocks:
 the postings of a block list, for each trigram some rule asks for, the texts
-that hold it (all positions of the folded bytes are looked up in one numpy
-pass). Postings are united and intersected per rule, and only the candidates
+that hold it (the positions of the folded bytes are looked up by numpy, a
+piece at a time). Postings are united and intersected per rule, and only the candidates
 are verified by the expression itself. A rule without a mandatory trigram
 scans its whole block. Blocks are independent, so nothing is shuffled.
 
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from marketlake.llm.common import map_batches, texts_of
 
 MAX_SET = 24   # exact strings kept per side while a query is derived
+PIECE = 1 << 20   # bytes whose trigrams are looked up at a time
 
 
 @dataclass(frozen=True)
@@ -183,12 +184,17 @@ class BlockIndex:
         found = {g: np.empty(0, np.int64) for g in self.grams}
         if len(data) < 3:
             return found
-        wide = data.astype(np.int32)
-        slots = self.slot[wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]]
-        at = np.flatnonzero(slots)
+        places, slots = [], []
+        for lo in range(0, len(data) - 2, PIECE):
+            wide = data[lo:lo + PIECE + 2].astype(np.int32)
+            slot = self.slot[wide[:-2] << 16 | wide[1:-1] << 8 | wide[2:]]
+            at = np.flatnonzero(slot)
+            places.append(at + lo)
+            slots.append(slot[at])
+        at, slots = np.concatenate(places), np.concatenate(slots)
         starts = np.cumsum([0] + [len(t) + 3 for t in texts[:-1]])
         text = np.searchsorted(starts, at, "right") - 1
-        pairs = np.unique(slots[at].astype(np.int64) << 32 | text)
+        pairs = np.unique(slots.astype(np.int64) << 32 | text)
         which, cuts = pairs >> 32, None
         cuts = np.searchsorted(which, np.arange(1, len(self.grams) + 2))
         for i, g in enumerate(self.grams):

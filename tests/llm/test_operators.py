@@ -250,6 +250,25 @@ def test_decontamination_equals_brute_force(spark, docs, corpus, empty, monkeypa
     assert len(none) == len(corpus) and not any(r.contaminated for r in none)
 
 
+def test_workers_keep_the_tables_of_one_operator(docs):
+    ids = packing.word_ids(public_tokenizers.path("word_bpe_49k.json"))
+    ids.encode("some words, some more words")
+    assert len(ids.cache) and packing.word_ids.cache_info().currsize == 1
+    common.release_others(packing.__name__)             # the next task of the same operator
+    assert packing.word_ids.cache_info().currsize == 1
+    common.release_others(secret_scan.__name__)         # a task of another one
+    assert packing.word_ids.cache_info().currsize == 0
+
+
+def test_secret_postings_by_pieces(monkeypatch):
+    texts = [b"x" * n + b"token=" + b"y" * n for n in range(0, 40, 3)] + [b"", b"to", b"tok"]
+    index = secret_scan.BlockIndex(["ken", "tok", "n=y"])
+    want = {g: [i for i, t in enumerate(texts) if g.encode() in t] for g in index.grams}
+    for piece in (1, 2, 7, 1 << 20):
+        monkeypatch.setattr(secret_scan, "PIECE", piece)
+        assert {g: p.tolist() for g, p in index.postings(texts).items()} == want
+
+
 def test_nn_descent_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(60, 16))
