@@ -2,7 +2,7 @@
 
 Texts are cut into parts where both tokenizers end a token whatever stands
 around (before a single space between two words), and each distinct part of a
-block of texts is encoded twice. The tokens are the rows of two 0/1 incidence
+block of texts is encoded twice, some parts at a time. The tokens are the rows of two 0/1 incidence
 matrices over the parts' bytes, in hand-built CSR; Gustavson's row products
 A * B^T give the overlap links of the tokens. A token that overlaps nothing
 before it starts a group, so the products also tell the groups: the shortest
@@ -31,9 +31,10 @@ import gc
 import hashlib
 import os
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -44,8 +45,9 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import staged
 
-BLOCK_ROWS = 512
-BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 2048
+BLOCK_BYTES = 4 << 20
+JOINED = 64             # parts encoded at a time
 PRODUCTS = 1 << 21      # products expanded at a time: bounds memory inside long texts
 # Both tokenizers end a token before a single space between two characters that
 # are no white space, whatever stands around them: texts are cut there.
@@ -199,23 +201,49 @@ class Pair:
         out[2 * pb + 1] = np.where(last_b, ";", ",")
         return out
 
-    def align(self, parts: list[str]) -> Parts:
-        """Encodes and aligns parts of texts, a space before each."""
-        spaced = [" " + p for p in parts]
+    def encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of A and B, a space before each text; None where the bytes of
+        either are not the text's."""
+        spaced = [" " + t for t in texts]
         a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        b = self.b.encode(parts, num_threads=1)
-        data = [p.encode() for p in spaced]
+        b = self.b.encode(texts, num_threads=1)
+        made_a, made_b = ([b"".join(map(known.__getitem__, x)) for x in ids]
+                          for ids, known in ((a, self.a_bytes), (b, self.b_bytes)))
+        return [(x, y) if p == q == t.encode() else None
+                for x, y, p, q, t in zip(a, b, made_a, made_b, spaced)]
+
+    def tokens(self, parts: list[str], joined: int) -> tuple[np.ndarray, ...]:
+        """(good, n_a, n_b, ids of A, ids of B) of the parts. Up to ``joined``
+        parts are encoded as one text, which both tokenizers cut again at
+        their ends; parts with white space at an end, and those of a text
+        whose bytes differ, are encoded alone."""
+        edge = [i for i, p in enumerate(parts) if p[0].isspace() or p[-1].isspace()]
+        bounds = sorted({*range(0, len(parts), joined), *edge, *(i + 1 for i in edge), len(parts)})
+        spans = list(pairwise(bounds))
+        found = self.encoded([" ".join(parts[i:j]) for i, j in spans])
+        odd = [k for (i, j), f in zip(spans, found) for k in range(i, j) if not f and j > i + 1]
+        alone = dict(zip(odd, self.encoded([parts[k] for k in odd])))
+        got = [x for (i, j), f in zip(spans, found)
+               for x in ([alone[k] for k in range(i, j)] if i in alone else [f])]
         good = np.ones(len(parts), bool)
-        for ids, known in ((a, self.a_bytes), (b, self.b_bytes)):
-            made = [b"".join(map(known.__getitem__, x)) for x in ids]
-            if made != data:
-                good &= np.array([x == y for x, y in zip(made, data)])
-        if not good.all():
-            a, b = ([x if ok else [] for x, ok in zip(ids, good)] for ids in (a, b))
-        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(parts)) for ids in (a, b))
-        xa, xb = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum())
-                  for ids, n in ((a, n_a), (b, n_b)))
-        del a, b
+        good[[i for (i, _), f in zip(spans, found) if not f and i not in alone]] = False
+        good[[k for k, f in alone.items() if not f]] = False
+        size = np.fromiter(map(len, map(str.encode, parts)), np.int64, len(parts)) + 1
+        ends = np.cumsum(np.where(good, size, 0))
+        out = []
+        for side, known in enumerate((self.a_size, self.b_size)):
+            ids = np.fromiter(chain.from_iterable(x[side] for x in got if x), np.int64)
+            closed = np.concatenate([[0], np.cumsum(known[ids])])
+            last = np.searchsorted(closed, ends, "right") - 1
+            if (closed[last] != ends).any():       # a token runs over a part's end
+                return self.tokens(parts, 1)
+            out.append((np.diff(last, prepend=0), ids))
+        (n_a, xa), (n_b, xb) = out
+        return good, n_a, n_b, xa, xb
+
+    def align(self, parts: list[str]) -> Parts:
+        """Encodes and aligns parts of texts, a space before each."""
+        good, n_a, n_b, xa, xb = self.tokens(parts, JOINED)
         ga, gb = groups_of(np.cumsum(self.a_size[xa]), np.cumsum(self.b_size[xb]))
         at, pair, links = shared_group_links(xa, ga, np.repeat(np.arange(len(parts)), n_a), xb, gb,
                                              len(self.b_bytes))
@@ -255,8 +283,9 @@ def shared_group_links(a_ids: np.ndarray, ga: np.ndarray, part: np.ndarray, b_id
 
 def block_row(pair: Pair, block: int, ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
     """One row: the texts' digests, their links by pair, the distinct pairs."""
-    place: dict[str, int] = {}
-    inside = [[place.setdefault(p, len(place)) for p in CUT.split(t)] if t else [] for t in texts]
+    place: dict[str, int] = defaultdict()
+    place.default_factory = place.__len__
+    inside = [list(map(place.__getitem__, CUT.split(t))) if t else [] for t in texts]
     parts = pair.align(list(place))
     if not parts.good.all():
         ok = parts.good.tolist()
@@ -296,16 +325,20 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str
         base = TaskContext.get().partitionId() << 33      # numbers of this task's blocks
         gc.disable()              # no cycles here, but millions of small lists to walk
         try:
+            ids, texts, size = [], [], 0              # the open block
             for batch in batches:
-                texts = batch.column(text_col).to_pylist()
-                size = np.cumsum([len(t or "") for t in texts])
-                lo = 0
-                while lo < len(texts):
-                    gone = size[lo - 1] if lo else 0
-                    hi = max(lo + 1, min(lo + BLOCK_ROWS, int(np.searchsorted(
-                        size, gone + BLOCK_BYTES, "right"))))
-                    yield block_row(pair, base + made, batch.column(id_col)[lo:hi], texts[lo:hi])
-                    made, lo = made + 1, hi
+                col, lo = batch.column(id_col), 0
+                for i, text in enumerate(batch.column(text_col).to_pylist()):
+                    n = len(text or "")
+                    if texts and (len(texts) >= BLOCK_ROWS or size + n > BLOCK_BYTES):
+                        yield block_row(pair, base + made, pa.concat_arrays([*ids, col[lo:i]]),
+                                        texts)
+                        made, lo, ids, texts, size = made + 1, i, [], [], 0
+                    texts.append(text)
+                    size += n
+                ids.append(col[lo:])
+            if texts:
+                yield block_row(pair, base + made, pa.concat_arrays(ids), texts)
         finally:
             gc.enable()
     return staged(docs.select(id_col, text_col).mapInArrow(run, schema), "blocks")

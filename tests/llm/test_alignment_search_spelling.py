@@ -246,3 +246,34 @@ def test_neighbourhood_holds_every_one_edit_string():
 def test_variants_of_an_empty_table(session):
     assert spelling_variants.spelling_variants(frame(session, []).limit(0)).count() == 0
     assert spelling_variants.spelling_variants(frame(session, ODD[:5])).count() == 0
+
+
+def test_blocks_over_several_batches(session):
+    texts = [*ODD, *(f"text {i} of many" for i in range(40))]
+    docs = frame(session, texts, range(len(texts))).coalesce(1)
+    want = Counter(map(tuple, align(docs).collect()))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert Counter(map(tuple, align(docs).collect())) == want
+        made = token_alignment.blocks(docs, public_tokenizers.path(BYTES),
+                                      public_tokenizers.path(PIECES), "doc_id", "text")
+        assert made.count() == 1               # texts of one task, whatever its batches
+    finally:
+        common.tune(session)
+
+
+def test_parts_encoded_together_are_those_encoded_alone(monkeypatch):
+    pair = token_alignment.tokenizer_pair(public_tokenizers.path(BYTES),
+                                          public_tokenizers.path(PIECES))
+    words = [f"{w}{i}" for i, w in enumerate(["plain", "É", "日本", "don't", "ab\n", "<s>", "x."] * 30)]
+    parts = [*words, " lead", "trail ", "\n", "e\u0301", "\x00", "ﬁ", "a\tb", "▁", "</s>"]
+    asked, encoded = [], pair.encoded
+    monkeypatch.setattr(pair, "encoded", lambda t: asked.append(len(t)) or encoded(t))
+    together = pair.tokens(parts, 16)
+    assert sum(asked) < len(parts) / 2                 # far fewer texts than parts
+    alone = [encoded([p])[0] for p in parts]
+    assert 0 < sum(x is None for x in alone) < 9
+    assert together[0].tolist() == [x is not None for x in alone]
+    for side in (0, 1):
+        got = np.split(together[3 + side], np.cumsum(together[1 + side])[:-1])
+        assert [g.tolist() for g in got] == [x[side] if x else [] for x in alone]
