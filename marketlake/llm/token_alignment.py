@@ -14,10 +14,15 @@ and the parts by pairs, those of each text.
 Spark then counts, for each id pair, the texts that hold it: blocks emit their
 distinct pairs with the number of their texts, so what is shuffled is some
 texts' worth of a block's pairs, not all links. Every block asks for the counts
-of its own pairs and of its A ids' best ones and gets them back as one row, and
-the last product, the block's text-by-pair matrix with these counts, gives the
-sums. Blocks hold at most ``BLOCK_ROWS`` texts and, but for one longer text,
-``BLOCK_BYTES`` characters.
+of its own pairs and of its A ids' best ones, gets them back ahead of its
+pieces, and the last product, each piece's text-by-pair matrix with these
+counts, gives the sums. Blocks hold at most ``BLOCK_ROWS`` texts and, but for
+one longer text, ``BLOCK_BYTES`` characters.
+
+Memory: a block's parts are aligned ``ALIGNED`` characters at a time, and it is
+stored as pieces of at most ``PIECE`` entries of its matrix (or one text), a
+row each, ``GROUP`` rows in a row group. So no row, Arrow batch or column
+vector of the executors grows with a block or with the input.
 
 Defined cases: texts that are NULL, empty, or whose joined token bytes differ
 from a space and the text have no tokens (zeros and an empty digest); repeated
@@ -34,7 +39,7 @@ import re
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, pairwise
+from itertools import chain, count, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -47,8 +52,11 @@ from marketlake.llm.common import staged
 
 BLOCK_ROWS = 2048
 BLOCK_BYTES = 4 << 20
-JOINED = 64             # parts encoded at a time
-PRODUCTS = 1 << 21      # products expanded at a time: bounds memory inside long texts
+JOINED = 64             # parts encoded as one text
+ALIGNED = 1 << 18       # characters of parts (or one longer part) aligned at a time
+PRODUCTS = 1 << 18      # products expanded at a time: bounds memory inside long texts
+PIECE = 1 << 15         # entries of a block's text-by-pair matrix in a stored row
+GROUP = 32              # stored rows that are read at once
 # Both tokenizers end a token before a single space between two characters that
 # are no white space, whatever stands around them: texts are cut there.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -242,7 +250,13 @@ class Pair:
         return good, n_a, n_b, xa, xb
 
     def align(self, parts: list[str]) -> Parts:
-        """Encodes and aligns parts of texts, a space before each."""
+        """Encodes and aligns parts of texts, a space before each, some at a time."""
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // ALIGNED)) + 1
+        return joined_parts([self.aligned(parts[i:j])
+                             for i, j in pairwise([0, *cuts.tolist(), len(parts)])])
+
+    def aligned(self, parts: list[str]) -> Parts:
         good, n_a, n_b, xa, xb = self.tokens(parts, JOINED)
         ga, gb = groups_of(np.cumsum(self.a_size[xa]), np.cumsum(self.b_size[xb]))
         at, pair, links = shared_group_links(xa, ga, np.repeat(np.arange(len(parts)), n_a), xb, gb,
@@ -258,6 +272,17 @@ class Pair:
         return Parts(good, n_a, n_b, n_groups, text, CSR(start, column, links), pairs)
 
 
+def joined_parts(some: list[Parts]) -> Parts:
+    """One after the other, over the pairs of all."""
+    pairs = np.unique(np.concatenate([x.pairs for x in some]))
+    column = [np.searchsorted(pairs, x.pairs)[x.links.col] for x in some]
+    size = np.concatenate([np.diff(x.links.start) for x in some])
+    links = CSR(np.concatenate([[0], np.cumsum(size)]), np.concatenate(column),
+                np.concatenate([x.links.val for x in some]))
+    good, n_a, n_b, n_groups = (np.concatenate(c) for c in list(zip(*some))[:4])
+    return Parts(good, n_a, n_b, n_groups, [t for x in some for t in x.text], links, pairs)
+
+
 @lru_cache(maxsize=2)
 def tokenizer_pair(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)
@@ -282,9 +307,9 @@ def shared_group_links(a_ids: np.ndarray, ga: np.ndarray, part: np.ndarray, b_id
 
 
 def block_row(pair: Pair, block: int, ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
-    """One row: the texts' digests, their links by pair, the distinct pairs."""
-    place: dict[str, int] = defaultdict()
-    place.default_factory = place.__len__
+    """A block's pieces, a row each: the digests of some texts, their links by
+    pair, and some of the block's distinct pairs."""
+    place: dict[str, int] = defaultdict(count().__next__)     # no cycle: gc is off here
     inside = [list(map(place.__getitem__, CUT.split(t))) if t else [] for t in texts]
     parts = pair.align(list(place))
     if not parts.good.all():
@@ -301,27 +326,48 @@ def block_row(pair: Pair, block: int, ids: pa.Array, texts: list[str | None]) ->
     doc, column, links = (np.concatenate(c) for c in zip(*got))
     used, which = np.unique(column, return_inverse=True)     # not those of texts without tokens
     start = np.searchsorted(doc, np.arange(len(texts) + 1))
-    one = lambda x, t: pa.array([x], pa.list_(t))
+    held, pairs = np.bincount(which, minlength=len(used)), parts.pairs[used]
+    cuts = piece_cuts(start)
+    some = np.minimum(np.arange(len(cuts)) * PIECE, len(pairs))     # pairs are dealt to pieces
+    some[-1] = len(pairs)
+    lists = lambda x, at, t: pa.ListArray.from_arrays(
+        pa.array(at, pa.int32()), pa.array(x, t))
+    begins = [start[i:j + 1] - start[i] for i, j in pairwise(cuts)]
     return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), pa.ListArray.from_arrays(
-            pa.array([0, len(ids)], pa.int32()), ids),
-         one(n_a, pa.int64()), one(n_b, pa.int64()), one(n_groups, pa.int64()),
-         one(sha, pa.string()), one(start, pa.int32()), one(which, pa.int32()),
-         one(links, pa.int64()), one(parts.pairs[used], pa.int64()),
-         one(np.bincount(which, minlength=len(used)), pa.int32())],
-        names=["block", "ids", "n_a", "n_b", "n_groups", "sha", "start", "which", "links",
+        [pa.array([block] * len(begins), pa.int64()), pa.array(range(len(begins)), pa.int32()),
+         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), ids),
+         lists(n_a, cuts, pa.int64()), lists(n_b, cuts, pa.int64()),
+         lists(n_groups, cuts, pa.int64()), lists(sha, cuts, pa.string()),
+         pa.array(begins, pa.list_(pa.int32())), lists(which, start[cuts], pa.int32()),
+         lists(links, start[cuts], pa.int64()), lists(pairs, some, pa.int64()),
+         lists(held, some, pa.int32())],
+        names=["block", "no", "ids", "n_a", "n_b", "n_groups", "sha", "start", "which", "links",
                "pairs", "texts"])
 
 
+def piece_cuts(start: np.ndarray) -> list[int]:
+    """Texts at which pieces begin, and the end: at most ``PIECE`` entries or
+    one text in each."""
+    cuts, last = [0], len(start) - 1
+    while cuts[-1] < last:
+        fits = int(np.searchsorted(start, start[cuts[-1]] + PIECE, "right")) - 1
+        cuts.append(min(last, max(cuts[-1] + 1, fits)))
+    return cuts
+
+
 def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str) -> DataFrame:
-    """The stored block rows of all texts."""
+    """The stored pieces of the blocks of all texts."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = (f"block bigint, ids array<{id_type}>, n_a array<bigint>, n_b array<bigint>, "
-              "n_groups array<bigint>, sha array<string>, start array<int>, which array<int>, "
-              "links array<bigint>, pairs array<bigint>, texts array<int>")
+    schema = (f"block bigint, no int, ids array<{id_type}>, n_a array<bigint>, "
+              "n_b array<bigint>, n_groups array<bigint>, sha array<string>, start array<int>, "
+              "which array<int>, links array<bigint>, pairs array<bigint>, texts array<int>")
+
+    def pieces(block, ids, texts):
+        made = block_row(tokenizer_pair(a_path, b_path), block, pa.concat_arrays(ids), texts)
+        return (made.slice(i, 1) for i in range(made.num_rows))
 
     def run(batches):
-        pair, made = tokenizer_pair(a_path, b_path), 0
+        made = 0
         base = TaskContext.get().partitionId() << 33      # numbers of this task's blocks
         gc.disable()              # no cycles here, but millions of small lists to walk
         try:
@@ -331,17 +377,17 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str
                 for i, text in enumerate(batch.column(text_col).to_pylist()):
                     n = len(text or "")
                     if texts and (len(texts) >= BLOCK_ROWS or size + n > BLOCK_BYTES):
-                        yield block_row(pair, base + made, pa.concat_arrays([*ids, col[lo:i]]),
-                                        texts)
+                        yield from pieces(base + made, [*ids, col[lo:i]], texts)
                         made, lo, ids, texts, size = made + 1, i, [], [], 0
                     texts.append(text)
                     size += n
                 ids.append(col[lo:])
             if texts:
-                yield block_row(pair, base + made, pa.concat_arrays(ids), texts)
+                yield from pieces(base + made, ids, texts)
         finally:
             gc.enable()
-    return staged(docs.select(id_col, text_col).mapInArrow(run, schema), "blocks")
+    return staged(docs.select(id_col, text_col).mapInArrow(run, schema), "blocks",
+                  **{"parquet.block.row.count.limit": GROUP})
 
 
 # --------------------------------------------------------------- corpus counts
@@ -356,28 +402,36 @@ def pair_counts(rows: DataFrame, width: int) -> DataFrame:
     return staged(counts.select("pair", "count", (F.col("count") == top).alias("best")), "counts")
 
 
-def told_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Texts of block rows: the block's matrix of links times the counts."""
-    out = []
-    for b in range(batch.num_rows):
-        get = lambda name: batch.column(name)[b].values
-        start, which, links = (get(c).to_numpy() for c in ("start", "which", "links"))
-        told = batch.column("told")[b]
-        count = best = np.zeros(0, np.int64)
-        if told.is_valid:                                  # in the order of the block's pairs
-            key, count, best = (np.asarray(told.values.field(f))
-                                for f in ("pair", "count", "best"))
-            order = np.argsort(key)
-            count, best = count[order], best[order].astype(np.int64)
-        matrix = CSR(start, which, links)
-        n_links, n_best, total = (weighted(matrix, x) for x in
-                                  (np.ones(len(count), np.int64), best, count))
-        out.append(pa.RecordBatch.from_arrays(
-            [get("ids"), get("n_a"), get("n_b"), get("n_groups"), pa.array(n_links),
-             pa.array(n_best), pa.array(total), get("sha")],
-            names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
-                   "groups_sha256"]))
-    return pa.concat_batches(out)
+def told_texts(batches):
+    """Texts of the pieces, a batch each: the piece's matrix of links times the
+    counts. Rows come by block, what its pieces' pairs were told before the pieces."""
+    block, told, counts, best = None, [], None, None
+    for batch in batches:
+        heard, piece = batch.column("told"), batch.column("piece")
+        for k, at in enumerate(batch.column("block").to_pylist()):
+            if at != block:
+                block, told, counts = at, [np.zeros((2, 0), np.int64)], None
+            if piece[k].is_valid:
+                if counts is None:                         # in the order of the block's pairs
+                    pair, value = np.concatenate(told, axis=1)
+                    value = value[np.argsort(pair)]
+                    counts, best, told = value >> 1, value & 1, []
+                yield told_piece(piece, k, counts, best)
+            else:
+                told.append(np.stack([np.asarray(heard[k].values.field(f)) for f in (0, 1)]))
+
+
+def told_piece(piece: pa.StructArray, k: int, counts: np.ndarray,
+               best: np.ndarray) -> pa.RecordBatch:
+    get = lambda name: piece.field(name)[k].values
+    matrix = CSR(*(get(c).to_numpy() for c in ("start", "which", "links")))
+    n_links, n_best, total = (weighted(matrix, x) for x in
+                              (np.ones(len(counts), np.int64), best, counts))
+    return pa.RecordBatch.from_arrays(
+        [get("ids"), get("n_a"), get("n_b"), get("n_groups"), pa.array(n_links),
+         pa.array(n_best), pa.array(total), get("sha")],
+        names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+               "groups_sha256"])
 
 
 def align_tokens(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
@@ -388,16 +442,14 @@ def align_tokens(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
     id_type = docs.schema[id_col].dataType.simpleString()
     width = len(tokenizer_pair(a_path, b_path).b_bytes)
     rows = blocks(docs, a_path, b_path, id_col, text_col)
-    asked = rows.select("block", F.explode("pairs").alias("pair"))
-    told = (asked.join(pair_counts(rows, width).hint("merge"), "pair").groupBy("block")
-            .agg(F.collect_list(F.struct("pair", "count", "best")).alias("told")))
-    answered = rows.drop("pairs", "texts").join(told.hint("merge"), "block", "left")
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield told_rows(batch)
-
-    return answered.mapInArrow(run, f"doc_id {id_type}, n_a bigint, n_b bigint, n_groups bigint, "
-                               "n_links bigint, n_best bigint, count_sum bigint, "
-                               "groups_sha256 string")
+    asked = rows.select("block", "no", F.explode("pairs").alias("pair"))
+    value = F.col("count") * 2 + F.col("best").cast("int")
+    told = (asked.join(pair_counts(rows, width).hint("merge"), "pair").groupBy("block", "no")
+            .agg(F.collect_list(F.struct("pair", value.alias("value"))).alias("told")).drop("no"))
+    pieces = rows.select("block", F.struct("ids", "n_a", "n_b", "n_groups", "sha", "start",
+                                           "which", "links").alias("piece"))
+    answered = (told.unionByName(pieces, allowMissingColumns=True).repartition("block")
+                .sortWithinPartitions("block", F.col("piece").isNotNull()))
+    return answered.mapInArrow(told_texts, f"doc_id {id_type}, n_a bigint, n_b bigint, "
+                               "n_groups bigint, n_links bigint, n_best bigint, "
+                               "count_sum bigint, groups_sha256 string")

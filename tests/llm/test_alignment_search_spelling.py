@@ -277,3 +277,66 @@ def test_parts_encoded_together_are_those_encoded_alone(monkeypatch):
     for side in (0, 1):
         got = np.split(together[3 + side], np.cumsum(together[1 + side])[:-1])
         assert [g.tolist() for g in got] == [x[side] if x else [] for x in alone]
+
+
+def many_texts(n, words, vocabulary):
+    rng = random.Random(9)
+    known = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+             for _ in range(vocabulary)]
+    return [" ".join(rng.choices(known, k=words)) for _ in range(n)]
+
+
+def test_blocks_are_stored_as_small_pieces(monkeypatch):
+    texts = [t for t in ODD if t] + many_texts(30, 20, 200) + ["", None]
+    pair = token_alignment.tokenizer_pair(public_tokenizers.path(BYTES),
+                                          public_tokenizers.path(PIECES))
+    import pyarrow as pa
+    whole = token_alignment.block_row(pair, 1, pa.array(range(len(texts))), texts)
+    assert whole.num_rows == 1
+    monkeypatch.setattr(token_alignment, "ALIGNED", 100)
+    monkeypatch.setattr(token_alignment, "PIECE", 50)
+    pieces = token_alignment.block_row(pair, 1, pa.array(range(len(texts))), texts)
+    assert pieces.num_rows > 10
+    assert all(len(p["which"]) <= 50 or len(p["ids"]) == 1 for p in pieces.to_pylist())
+    assert all(len(p["pairs"]) <= 50 for p in pieces.to_pylist()[:-1])
+    for name in ("ids", "n_a", "n_b", "n_groups", "sha", "which", "links", "pairs", "texts"):
+        assert pieces.column(name).flatten().equals(whole.column(name).flatten())
+    sizes = [np.diff(x.values.to_numpy()) for c in (pieces, whole) for x in c.column("start")]
+    assert np.concatenate(sizes[:-1]).tolist() == sizes[-1].tolist()
+
+
+def test_a_block_leaves_nothing_behind_and_holds_little():
+    import gc
+    import tracemalloc
+    import pyarrow as pa
+    pair = token_alignment.tokenizer_pair(public_tokenizers.path(BYTES),
+                                          public_tokenizers.path(PIECES))
+    texts = many_texts(600, 200, 100_000)
+    token_alignment.block_row(pair, 1, pa.array(range(3)), texts[:3])
+    gc.collect()
+    gc.disable()                                  # as in the tasks
+    tracemalloc.start()
+    try:
+        token_alignment.block_row(pair, 1, pa.array(range(len(texts))), texts)
+        left, most = tracemalloc.get_traced_memory()
+        assert left < 1 << 20                     # a cycle would keep all parts
+        assert most < 65 << 20
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+
+
+def test_alignment_over_several_pieces(session, monkeypatch):
+    monkeypatch.setattr(token_alignment, "GROUP", 1)
+    texts = many_texts(1200, 40, 3000)
+    docs = frame(session, texts).coalesce(1)
+    made = token_alignment.blocks(docs, public_tokenizers.path(BYTES),
+                                  public_tokenizers.path(PIECES), "doc_id", "text")
+    assert 1 < made.count() < 9 and made.select("block").distinct().count() == 1
+    import pyarrow.parquet as pq
+    for path in made.inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:")).metadata
+        assert [meta.row_group(i).num_rows for i in range(meta.num_row_groups)] \
+            == [1] * meta.num_rows                # read one at a time
+    want = Counter((i, *w) for i, w in enumerate(brute_alignment(texts)))
+    assert Counter(map(tuple, align(docs).collect())) == want
